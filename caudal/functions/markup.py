@@ -9,52 +9,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Entities of letters and marks, harmless to decode before tags are cut.
-LETTER_ENTITIES = {
+# Named entities and their characters.
+ENTITIES = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
     "aacute": "á", "eacute": "é", "iacute": "í", "oacute": "ó", "uacute": "ú", "ntilde": "ñ", "uuml": "ü",
     "Aacute": "Á", "Eacute": "É", "Iacute": "Í", "Oacute": "Ó", "Uacute": "Ú", "Ntilde": "Ñ", "Uuml": "Ü",
     "iquest": "¿", "iexcl": "¡", "ordm": "º", "ordf": "ª", "deg": "°", "laquo": "«", "raquo": "»",
-    "nbsp": " ",
 }
 
-# Entities of characters that have a meaning in markup; the ampersand comes last.
-MARK_ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
-
-# Whitespace as Unicode defines it.
-SPACE = r"[\s\x0B\x1C-\x1F\x85   -     　]"
-
-
-def _named(text: Column, entities: dict[str, str]) -> Column:
-    for name, char in entities.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return text
-
-
-def _numbered(text: Column, start: str, digits: str, base: int) -> Column:
-    """Decode ``&#233;`` or ``&#xE9;``: cut the text at each opening, turn its number into a character."""
-    pattern = f"^({digits}{{1,6}});"
-
-    def decode(piece: Column) -> Column:
-        number = F.conv(F.regexp_extract(piece, pattern, 1), base, 16)
-        char = F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32")
-        return F.when(
-            F.regexp_like(piece, F.lit(pattern)), F.concat(char, F.regexp_replace(piece, pattern, ""))
-        ).otherwise(F.concat(F.lit(start), piece))
-
-    pieces = F.split(text, start)
-    decoded = F.concat(
-        F.element_at(pieces, 1), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), decode), "")
-    )
-    return F.when(F.contains(text, F.lit(start)), decoded).otherwise(text)
-
-
-def decode_letters(html: Column) -> Column:
-    return _named(html, LETTER_ENTITIES)
-
-
-def decode_text(text: Column) -> Column:
-    """Decode what is left of a text node's entities."""
-    return _named(_numbered(_numbered(text, "&#x", "[0-9A-Fa-f]", 16), "&#", "[0-9]", 10), MARK_ENTITIES)
+# Whitespace of any script.
+SPACE = r"[\s\x1C-\x1F]"
+
+
+def decode(text: str) -> str:
+    """SQL for a text with its entities replaced by their characters; unknown ones stay as they are.
+
+    The text is cut at its ampersands and every piece looks at its own name or number.
+    Arrays of one value bind a name to something that is used more than once.
+    """
+    names, chars = ",".join(ENTITIES), ",".join(ENTITIES.values()).replace("'", r"\'")
+    known = f"map_from_arrays(split('{names}', ','), split('{chars}', ','))"
+    code = """CASE WHEN name RLIKE '^#[0-9]{1,7}$' THEN int(substring(name, 2))
+                   WHEN name RLIKE '^#[xX][0-9A-Fa-f]{1,6}$' THEN int(conv(substring(name, 3), 16, 10)) END"""
+    numbered = f"""transform(array({code}), code ->
+                     CASE WHEN code BETWEEN 1 AND 55295 OR code BETWEEN 57344 AND 1114111
+                          THEN decode(unhex(lpad(hex(code), 8, '0')), 'UTF-32') END)[0]"""
+    piece = f"""transform(array(CASE WHEN contains(piece, ';') THEN substring_index(piece, ';', 1) END), name ->
+                  coalesce(coalesce(try_element_at({known}, name), {numbered}) || substring(piece, length(name) + 2),
+                           '&' || piece))[0]"""
+    return f"""transform(array({text}), whole ->
+                 CASE WHEN contains(whole, '&')
+                      THEN substring_index(whole, '&', 1)
+                           || array_join(transform(slice(split(whole, '&'), 2, length(whole)), piece -> {piece}), '')
+                      ELSE whole END)[0]"""
 
 
 def strip_hidden(html: Column) -> Column:
@@ -70,21 +57,23 @@ def elements(html: Column, tag: str) -> Column:
 
 
 def text_nodes(inner: Column) -> Column:
-    """Texts that stand directly in an element: text inside child elements is left out."""
+    """Texts that stand directly in an element, not decoded: what child elements hold is left out."""
     childless = F.regexp_replace(inner, r"(?i)<(\w++)\b[^>]*+>[^<]*+</\1\s*>", "<x>")
-    return F.transform(F.filter(F.split(childless, r"<[^>]*+>"), lambda t: t != ""), decode_text)
+    pieces = F.when(F.contains(inner, F.lit("<")), F.split(childless, r"<[^>]*+>")).otherwise(F.array(inner))
+    return F.filter(pieces, lambda t: t != "")
 
 
 def table_rows(html: Column) -> Column:
-    """Cell texts of every table row that has a cell: an array of arrays."""
+    """Texts in the cells of every table row that has a cell, not decoded: an array of arrays."""
     rows = F.filter(elements(html, "tr"), lambda row: F.regexp_like(row, F.lit(r"(?i)<td\b")))
     return F.transform(rows, lambda row: F.flatten(F.transform(elements(row, "td"), text_nodes)))
 
 
-def collapse(text: Column) -> Column:
-    return F.regexp_replace(text, SPACE + "+", " ")
+def collapse(text: str) -> str:
+    """SQL for a text with every run of whitespace as one space."""
+    return f"regexp_replace({text}, r'(?U){SPACE}+', ' ')"
 
 
-def visible_text(html: Column) -> Column:
-    """All text of a page with tags cut out and whitespace collapsed."""
-    return F.trim(collapse(decode_text(F.regexp_replace(decode_letters(strip_hidden(html)), r"<[^>]*+>", " "))))
+def strip(text: str) -> str:
+    """SQL for a text without whitespace at either end."""
+    return f"regexp_replace({text}, r'(?U)^{SPACE}+|{SPACE}+\\z', '')"

@@ -28,7 +28,7 @@ def epoch_minute(df: DataFrame, name: str) -> Column:
 
 def iso_day(text: Column) -> Column:
     """``dd/MM/yyyy`` text as ``yyyy-MM-dd`` text; anything else gives null."""
-    return F.date_format(F.try_to_date(F.trim(text), "dd/MM/yyyy"), "yyyy-MM-dd")
+    return F.date_format(F.try_to_date(text, "dd/MM/yyyy"), "yyyy-MM-dd")
 
 
 def day_text(when: Column) -> Column:

@@ -32,6 +32,12 @@ def _after_label(section: Column, label: str) -> Column:
     return F.try_element_at(F.split(section, rf"(?<=>){label}(?=<)", 2), F.lit(2))
 
 
+# Labels of the parts of a project's course.
+DEPUTIES_LABEL = " Giro a comisiones en Diputados "
+SENATE_LABEL = " Giro a comisiones en Senado "
+COURSE_LABEL = " Tr(?:á|&aacute;|&#225;|&#x[eE]1;)mite "
+
+
 def project_records(pages: DataFrame, html: str = "html") -> DataFrame:
     """Project records from pages of the law-project layout.
 
@@ -39,15 +45,16 @@ def project_records(pages: DataFrame, html: str = "html") -> DataFrame:
     (id, summary, date), give no row. Rows of the signers' table that do not have three
     texts and rows of the results' table that do not have four are left out.
     """
-    visible = M.decode_letters(M.strip_hidden(F.col(html)))
-    container = r"""(?i)<div\b(?=[^>]*\bclass\s*+=\s*+["'][^"']*\bcontainer\b)(?=[^>]*\bclass\s*+=\s*+["'][^"']*\btabGral\b)[^>]*+>"""
-    page = pages.select(F.try_element_at(F.split(visible, container, 2), F.lit(2)).alias("page")).where(
-        F.col("page").isNotNull()
-    )
+    class_ = r"""\bclass\s*+=\s*+["'][^"']*"""
+    container = rf"(?i)<div\b(?=[^>]*{class_}\bcontainer\b)(?=[^>]*{class_}\btabGral\b)[^>]*+>"
+    # explode of no or one value keeps the pages that fit, and keeps later filters from
+    # repeating the work on the page
+    page = pages.select(F.explode(F.slice(F.split(M.strip_hidden(F.col(html)), container, 2), 2, 1)).alias("page"))
 
     heading = F.regexp_extract("page", r"(?i)<h3\b[^>]*+>([^<]++)", 1)
-    kind = F.element_at(F.split(F.trim(M.collapse(F.lower(M.decode_text(heading)))), " "), -1)
-    laws = page.where(kind == "ley")
+    laws = page.withColumn("heading", heading).where(
+        f"element_at(split({M.strip(M.collapse(M.decode('lower(heading)')))}, ' '), -1) = 'ley'"
+    )
 
     # the heading stands in a div, beside the three texts and before any further div
     any_div = r"(?i)</?div\b[^>]*+>"
@@ -56,65 +63,74 @@ def project_records(pages: DataFrame, html: str = "html") -> DataFrame:
     rest = F.try_element_at(F.split(F.get(around, F.lit(1)), r"(?i)</h3\s*+>", 2), F.lit(2))
     after = F.element_at(F.split(rest, any_div, 2), 1)
     texts = F.filter(
-        F.concat(M.text_nodes(before), M.text_nodes(after)), lambda t: F.trim(M.collapse(t)) != ""
+        F.concat(M.text_nodes(before), M.text_nodes(after)), lambda t: F.regexp_like(t, F.lit(r"[^ \t\r\n]"))
+    )
+    parts = laws.select(
+        F.explode(F.filter(F.array(texts), lambda t: F.size(t) == 3)).alias("head"), "page"
+    ).select(
+        "head",
+        _section(F.col("page"), "proyectosTexto").alias("text"),
+        _section(F.col("page"), "proyectosFirmantes").alias("signers"),
+        _section(F.col("page"), "proyectosTramite").alias("course"),
     )
-    headed = laws.select(texts.alias("head"), "page").where(F.size("head") == 3)
 
     # a div of the text section counts when a paragraph follows it inside the same parent
     inner = r"[^<]*+(?:<(?!/?div\b)[^<]*+)*+"
     following = rf"(?=(?:[^<]*+(?:<div\b[^>]*+>{inner}</div\s*>|<(?!/?div\b|p\b)))*+[^<]*+<p\b)"
-    law_div = rf"(?i)<div\b((?![^>]*font-style:italic)[^>]*+>{inner})</div\s*>{following}"
-    text_section = _section(F.col("page"), "proyectosTexto")
-    divs = F.regexp_extract_all(text_section, F.lit(law_div), F.lit(1))
-    div_texts = F.flatten(F.transform(divs, lambda d: M.text_nodes(F.regexp_replace(d, r"^[^>]*+>", ""))))
-    law_text = F.when(F.size(div_texts) > 0, F.concat(F.lit(" "), F.array_join(div_texts, " "))).otherwise(F.lit(""))
-
-    signer_rows = F.filter(M.table_rows(_section(F.col("page"), "proyectosFirmantes")), lambda r: F.size(r) == 3)
-    signers = F.transform(
-        signer_rows,
-        lambda r: F.struct(
-            F.trim(M.collapse(r[0])).alias("congressman"),
-            F.trim(M.collapse(r[1])).alias("district"),
-            F.trim(M.collapse(r[2])).alias("party"),
-        ),
-    )
-
-    course = _section(F.col("page"), "proyectosTramite")
+    law_div = rf"(?i)<div\b(?![^>]*font-style:italic)[^>]*+>({inner})</div\s*>{following}"
+    div_texts = F.flatten(F.transform(F.regexp_extract_all("text", F.lit(law_div), F.lit(1)), M.text_nodes))
 
     def commissions(label: str) -> Column:
-        first_table = F.get(M.elements(_after_label(course, label), "table"), F.lit(0))
-        cells = F.flatten(F.transform(M.elements(first_table, "td"), M.text_nodes))
-        return F.coalesce(cells, F.array().cast("array<string>"))
-
-    result_rows = F.filter(M.table_rows(_after_label(course, " Trámite ")), lambda r: F.size(r) == 4)
-    results = F.transform(
-        F.coalesce(result_rows, F.array().cast("array<array<string>>")),
-        lambda r: F.struct(r[0].alias("chamber"), r[3].alias("result"), iso_day(r[2]).alias("date")),
+        first_table = F.get(M.elements(_after_label(F.col("course"), label), "table"), F.lit(0))
+        return F.flatten(F.transform(M.elements(first_table, "td"), M.text_nodes))
+
+    raw = parts.select(
+        "head",
+        F.array_join(F.transform(div_texts, lambda t: F.concat(F.lit(" "), t)), "").alias("law_text"),
+        F.filter(M.table_rows(F.col("signers")), lambda r: F.size(r) == 3).alias("signers"),
+        commissions(DEPUTIES_LABEL).alias("dcommissions"),
+        commissions(SENATE_LABEL).alias("scommissions"),
+        F.filter(M.table_rows(_after_label(F.col("course"), COURSE_LABEL)), lambda r: F.size(r) == 4).alias("results"),
     )
 
-    return headed.select(
-        F.trim(M.collapse(F.col("head")[0])).alias("id"),
-        F.trim(F.col("head")[1]).alias("summary"),
-        iso_day(M.collapse(F.col("head")[2])).alias("date"),
-        M.collapse(law_text).alias("law_text"),
-        signers.alias("signers"),
-        commissions(" Giro a comisiones en Diputados ").alias("dcommissions"),
-        commissions(" Giro a comisiones en Senado ").alias("scommissions"),
-        results.alias("results"),
+    decoded, stripped = M.decode("t"), M.strip(M.decode("t"))
+    clean = raw.select(
+        F.expr(f"transform(head, t -> {stripped})").alias("head"),
+        F.expr(M.collapse(M.decode("law_text"))).alias("law_text"),
+        F.expr(f"transform(signers, r -> transform(r, t -> {stripped}))").alias("signers"),
+        F.expr(f"coalesce(transform(dcommissions, t -> {decoded}), array())").alias("dcommissions"),
+        F.expr(f"coalesce(transform(scommissions, t -> {decoded}), array())").alias("scommissions"),
+        F.expr(f"coalesce(transform(results, r -> transform(r, t -> {decoded})), array())").alias("results"),
+    )
+    return clean.select(
+        F.col("head")[0].alias("id"),
+        F.col("head")[1].alias("summary"),
+        iso_day(F.col("head")[2]).alias("date"),
+        "law_text",
+        F.expr(
+            "transform(signers, r -> named_struct('congressman', r[0], 'district', r[1], 'party', r[2]))"
+        ).alias("signers"),
+        "dcommissions",
+        "scommissions",
+        F.transform(
+            "results",
+            lambda r: F.struct(r[0].alias("chamber"), r[3].alias("result"), iso_day(F.trim(r[2])).alias("date")),
+        ).alias("results"),
     )
 
 
 def page_records(pages: DataFrame, html: str = "html", *keep: str) -> DataFrame:
     """Title, first heading, number of links and text of any page, by the same means."""
-    shown = M.strip_hidden(F.col(html))
-
-    def first(tag: str) -> Column:
-        return F.trim(M.collapse(M.decode_text(F.regexp_extract(shown, rf"(?i)<{tag}\b[^>]*+>([^<]*+)", 1))))
-
-    return pages.select(
+    shown = pages.select(*keep, M.strip_hidden(F.col(html)).alias("shown"))
+    raw = shown.select(
+        *keep,
+        F.regexp_extract("shown", r"(?i)<title\b[^>]*+>([^<]*+)", 1).alias("title"),
+        F.regexp_extract("shown", r"(?i)<h1\b[^>]*+>([^<]*+)", 1).alias("heading"),
+        F.regexp_count("shown", F.lit(r"(?i)<a\b[^>]*?\bhref\s*+=")).cast("long").alias("links"),
+        F.regexp_replace("shown", r"<[^>]*+>", " ").alias("body"),
+    )
+    return raw.select(
         *keep,
-        first("title").alias("title"),
-        first("h1").alias("heading"),
-        F.regexp_count(shown, F.lit(r'(?i)<a\b[^>]*?\bhref\s*+=')).cast("long").alias("links"),
-        M.visible_text(F.col(html)).alias("body"),
+        "links",
+        *[F.expr(f"trim({M.collapse(M.decode(name))})").alias(name) for name in ("title", "heading", "body")],
     )
