@@ -40,7 +40,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark, sf_dir)
-    return X.labelled(tables["laws"], tables["results"]).select("id", "outcome", "sanctioned")
+    return X.labelled(tables["laws"].select("id"), tables["results"])
 
 
 _ROWS_SQL = """

@@ -135,18 +135,26 @@ FEATURES = [
 
 
 def labelled(laws: DataFrame, results: DataFrame, result: str = "SANCIONADO", per_id: bool = False) -> DataFrame:
-    """Laws (id, outcome, date, text, sanctioned): 1.0 where the law has the result, else 0.0.
+    """The laws with ``outcome`` and ``sanctioned``: 1.0 where the law has the result, else 0.0.
 
     A law with several results gives a row for each, told apart by ``outcome``, unless
     ``per_id`` asks for one row that is 1.0 when any of them is the result.
+
+    Laws without a result get an outcome of their own first. What is left is an inner
+    join, in which Spark can split the results of a law that has very many.
     """
     is_result = F.when(F.col("result") == result, 1.0).otherwise(0.0)
-    outcomes = results.select("id", F.concat_ws("/", "chamber", "result", "date").alias("outcome"), is_result.alias("label"))
+    told = results.select(
+        "id", F.concat_ws("/", "chamber", "result", "date").alias("outcome"), is_result.alias("sanctioned")
+    )
     if per_id:
-        outcomes = outcomes.groupBy("id").agg(F.lit("").alias("outcome"), F.max("label").alias("label"))
-    return law_text(laws).join(outcomes, "id", "left").select(
-        "id", "outcome", "date", "text", F.coalesce("label", F.lit(0.0)).alias("sanctioned")
+        told = told.groupBy("id").agg(F.lit("").alias("outcome"), F.max("sanctioned").alias("sanctioned"))
+    untold = (
+        laws.select("id")
+        .join(results.select("id").distinct(), "id", "left_anti")
+        .select("id", F.lit("").alias("outcome"), F.lit(0.0).alias("sanctioned"))
     )
+    return laws.join(told.unionByName(untold), "id")
 
 
 def category_columns(laws: DataFrame, signers: DataFrame, deputy: DataFrame, senate: DataFrame) -> DataFrame:
@@ -176,8 +184,14 @@ def feature_stages(columns: Sequence[str] = tuple(FEATURES)) -> list:
 def assemble(
     laws: DataFrame, results: DataFrame, signers: DataFrame, deputy: DataFrame, senate: DataFrame, *, per_id: bool = False
 ) -> DataFrame:
-    """Labelled laws with everything the feature vector needs except the text's own features."""
-    return labelled(laws, results, per_id=per_id).join(category_columns(laws, signers, deputy, senate), "id")
+    """Labelled laws with everything the feature vector needs except the text's own features.
+
+    The results come last: a law is one row until then, and nothing is shuffled by law after.
+    """
+    described = law_text(laws).select("id", "date", "text").join(
+        category_columns(laws, signers, deputy, senate), "id"
+    )
+    return labelled(described, results, per_id=per_id)
 
 
 def feature_vectors(assembled: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:

@@ -71,7 +71,7 @@ def top_topics(weights: DataFrame, topics: DataFrame, n: int = 5, only: DataFram
     weight, the lowest number among equals. ``only`` keeps the documents whose id it has.
     """
     if only is not None:
-        weights = weights.join(only.select("id"), "id", "left_semi")
+        weights = weights.join(only.select("id").distinct(), "id", "left_semi")
     dominant = weights.groupBy("id").agg(
         F.max(F.struct(F.col("topicDistribution").alias("weight"), (-F.col("pos")).alias("place"))).alias("best")
     )

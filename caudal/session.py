@@ -30,22 +30,22 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master gets a temporary folder when the setting is missing; a
     cluster must name one, because a machine-local folder is lost with its machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="caudal-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="caudal-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several later jobs read."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_dir(spark))
+    context = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
