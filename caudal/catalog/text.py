@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from caudal.catalog import Catalog, table
 from caudal.operators import text as T
+from caudal.session import spread
 
 catalog = Catalog()
 
 
 def _lines(spark: SparkSession, sf_dir: str, name: str = "documents", *keep: str) -> DataFrame:
-    return T.to_lines(table(spark, sf_dir, name), "text", *keep)
+    return T.to_lines(spread(table(spark, sf_dir, name)), "text", *keep)
 
 
 def _lines_sql(name: str = "documents", keep: str = "") -> str:

@@ -39,18 +39,21 @@ def tf_idf(documents: DataFrame, text: str = "text", language: str | None = "spa
 
 
 def _counts(documents: DataFrame, text: str, language: str | None, min_df: int) -> tuple[DataFrame, DataFrame]:
-    """Terms per document, and documents per term; the second reads the first one's shuffle."""
+    """Terms per document, and documents per term; the second reads the first one's shuffle.
+
+    A term's total is never below the number of its documents, so asking for it drops
+    nothing. It makes both plans need the same counts, which lets Spark read the texts once.
+    """
     tf = terms(documents, text, language).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
-    return tf, df
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    return tf, df.where((F.col("df") >= min_df) & (F.col("total") >= min_df)).select("term", "df")
 
 
-def _in_vocabulary(tf: DataFrame, df: DataFrame, spread: int = 8) -> DataFrame:
-    """Join the two on the term. A common term stands in most documents, so its rows are
-    spread over several groups and its single vocabulary row is given to each of them."""
-    salted = tf.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int"))
-    copies = df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return salted.join(copies, ["term", "salt"]).drop("salt")
+def _in_vocabulary(tf: DataFrame, df: DataFrame) -> DataFrame:
+    """Join the two on the term. The vocabulary has one row per term, so Spark may send it to
+    every task when it measures it to be small, and may split the rows of a very common term
+    when it is not: nothing after the join needs them in one place."""
+    return tf.join(df, "term")
 
 
 def tokenizer(text: str, out: str, language: str = "spanish") -> list:

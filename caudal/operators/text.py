@@ -54,7 +54,7 @@ def top_words(df: DataFrame, k: int = 10, longer_than: int = 3, column: str = "v
     """The ``k`` most frequent words of more than ``longer_than`` characters; ties in order of the word."""
     counted = (
         df.select(F.explode(F.split(F.col(column), " ")).alias("word"))
-        .where(F.length(trim_blanks(F.col("word"))) > longer_than)
+        .where((F.length("word") > longer_than) & (F.length(trim_blanks(F.col("word"))) > longer_than))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -31,8 +31,13 @@ def read_projects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_projects(df: DataFrame, column: str = "value") -> DataFrame:
-    """The same records from a column that holds one JSON object per row."""
-    return df.select(F.from_json(F.col(column), PROJECT).alias("record")).select("record.*")
+    """The same records from a column that holds one JSON object per row.
+
+    Going through an array of one record makes Spark parse each object once; otherwise
+    every field and filter downstream would parse it anew.
+    """
+    record = F.explode(F.array(F.from_json(F.col(column), PROJECT)))
+    return df.select(record.alias("record")).select("record.*")
 
 
 def parse_hits(lines: DataFrame, column: str = "value") -> DataFrame:
