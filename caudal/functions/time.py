@@ -32,9 +32,10 @@ def iso_day(text: Column) -> Column:
 
 
 def day_text(when: Column) -> Column:
-    return F.date_format(when, "yyyy-MM-dd")
+    """The day as ``yyyy-MM-dd``; a time without zone is taken as it stands."""
+    return when.cast("date").cast("string")
 
 
 def hour_text(when: Column) -> Column:
     """Hour of the day as two digits."""
-    return F.date_format(when, "HH")
+    return F.lpad(F.hour(when).cast("string"), 2, "0")

@@ -39,11 +39,15 @@ def enrich_triples(properties: DataFrame, types: DataFrame) -> DataFrame:
     list.
     """
     counted = types.groupBy("subject", F.col("object").alias("type")).agg(F.count(F.lit(1)).cast("int").alias("n"))
-    listed = counted.groupBy("subject").agg(F.array_sort(F.collect_list(F.struct("type", "n"))).alias("counts"))
     stated = F.flatten(F.transform("counts", lambda t: F.array_repeat(t["type"], t["n"])))
+    listed = (
+        counted.groupBy("subject")
+        .agg(F.array_sort(F.collect_list(F.struct("type", "n"))).alias("counts"))
+        .select("subject", stated.alias("types"))
+    )
     return properties.join(listed, "subject", "left").select(
         "subject",
-        F.coalesce(stated, F.array().cast("array<string>")).alias("types"),
+        F.coalesce("types", F.array().cast("array<string>")).alias("types"),
         "relation",
         "object",
     )

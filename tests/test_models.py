@@ -152,16 +152,14 @@ def test_topic_models_from_files_to_reports(spark, tmp_path):
     laws = _laws(spark)
     base = str(tmp_path)
     laws.write.parquet(f"{base}/flat/laws.parquet")
+    laws.createOrReplaceTempView("laws")
     for name, columns in [
         ("signers", "id, concat('c', id) congressman, 'd' district, if(id % 2 = 0, 'even', 'odd') party"),
         ("deputyCommissions", "id, 'X' commission"),
         ("senateCommissions", "id, 'Y' commission"),
         ("results", "id, 'D' chamber, if(id % 3 = 0, 'SANCIONADO', 'RETIRADO') result, '2014-02-02' date"),
     ]:
-        laws.selectExpr(*columns.split(", ")).write.parquet(f"{base}/flat/{name}.parquet") if "(" not in columns else (
-            laws.createOrReplaceTempView("laws"),
-            spark.sql(f"SELECT {columns} FROM laws").write.parquet(f"{base}/flat/{name}.parquet"),
-        )
+        spark.sql(f"SELECT {columns} FROM laws").write.parquet(f"{base}/flat/{name}.parquet")
     plan.run_topic_models(spark, f"{base}/flat/laws.parquet", f"{base}/lda", [2, 3], ("em", "online"), iterations=5)
     topics, doc_topics = read_topic_runs(spark, f"{base}/lda", [2, 3])
     assert topics.groupBy("k", "optimizer").count().count() == 4
