@@ -83,33 +83,42 @@ def word_pairs(
     itself instead of c * (c - 1) / 2.
 
     The result is as large as the pairs are many, so the work is laid out around them.
-    The sorted words of a line are cut into blocks, and a row is two blocks (or one
-    with itself): a line of any length becomes many rows of bounded work, spread evenly
-    over all tasks. Within a row equal words are counted first, and the pairs of a task
-    are summed before they are shuffled.
+    Lines of the same words are counted first and paired once. The sorted words of a line
+    are cut into blocks, and a row is two blocks (or one with itself): a line of any
+    length becomes many rows of bounded work, spread evenly over all tasks. Within a row
+    equal words are counted first, and the pairs of a task are summed before they are
+    shuffled.
     """
     spark = df.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_words = df.select(F.array_sort(words(F.col(column))).alias("words")).where(F.size("words") > 0)
-    blocks = sorted_words.select(
+    copies = sorted_words.groupBy("words").agg(F.count(F.lit(1)).alias("times"))
+    blocks = copies.select(
+        "times",
         F.transform(
             F.sequence(F.lit(0), F.floor((F.size("words") - 1) / block).cast("int")),
             lambda i: F.slice(F.col("words"), i * block + 1, F.lit(block)),
         ).alias("blocks")
     )
     block_pairs = (
-        blocks.select("blocks", F.posexplode("blocks").alias("i", "left"))
-        .select("left", F.posexplode(F.slice("blocks", F.col("i") + 1, F.size("blocks"))).alias("distance", "right"))
+        blocks.select("times", "blocks", F.posexplode("blocks").alias("i", "left"))
         .select(
+            "times", "left", F.posexplode(F.slice("blocks", F.col("i") + 1, F.size("blocks"))).alias("distance", "right")
+        )
+        .select(
+            "times",
             "left",
             (F.col("distance") == 0).alias("same"),
             F.when(F.col("distance") > 0, F.col("right")).otherwise(F.array().cast("array<string>")).alias("right"),
         )
         .repartition(partitions)
     )
-    tallied = block_pairs.select("same", _tallies(F.col("left")).alias("left"), _tallies(F.col("right")).alias("right"))
-    firsts = tallied.select("same", "left", "right", F.posexplode("left").alias("at", "a"))
+    tallied = block_pairs.select(
+        "times", "same", _tallies(F.col("left")).alias("left"), _tallies(F.col("right")).alias("right")
+    )
+    firsts = tallied.select("times", "same", "left", "right", F.posexplode("left").alias("at", "a"))
     seconds = firsts.select(
+        "times",
         "same",
         "a",
         F.posexplode(
@@ -121,7 +130,7 @@ def word_pairs(
     counted = seconds.select(
         F.col("a.word").alias("word_a"),
         F.col("b.word").alias("word_b"),
-        F.when(F.col("same") & (F.col("place") == 0), own).otherwise(a * b).alias("n"),
+        (F.when(F.col("same") & (F.col("place") == 0), own).otherwise(a * b) * F.col("times")).alias("n"),
     )
     if not include_self:
         counted = counted.where(F.col("n") > 0)

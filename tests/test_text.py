@@ -65,6 +65,7 @@ def test_pairs_of_a_line(spark):
 def test_pairs_match_a_plain_loop_however_long_the_line(spark, include_self, block):
     rng = random.Random(3)
     texts = [" ".join(rng.choice("abcdefghij") for _ in range(n)) for n in (1, 2, 7, 150)]
+    texts += [texts[2]] * 5
     want = Counter()
     for line in texts:
         ws = line.split(" ")

@@ -147,3 +147,14 @@ def test_text_and_zoned_timestamps_give_the_same_sessions(spark, hits):
         for h in (hits, as_text, zoned)
     ]
     assert counts[0] == counts[1] == counts[2]
+
+
+def test_days_and_hours_do_not_depend_on_the_zone_of_the_session(spark, hits):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        sessions = S.sessionize(hits, 30)
+        assert rows(S.visits_per_hour(sessions)) == [("2016-08-02", "10", 3), ("2016-08-02", "12", 1), ("2016-08-02", "23", 1)]
+        assert rows(S.funnel(hits)) == [("u1", "2016-08-02")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
