@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caudal.llm import exact, quality, urls
+from caudal.llm import exact, mixing, packing, pii, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,4 +44,41 @@ grouped AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, coun
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM grouped
 """
 
+
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+QUERIES["op3_best_fit_packing"] = lambda spark, sf: packing.pack(table(spark, sf, "documents"), tokenizer())
+
+QUERIES["op4_pii"] = lambda spark, sf: pii.personal_data(table(spark, sf, "documents"))
+
+QUERIES["op8_mixing_sources"] = lambda spark, sf: mixing.mix(table(spark, sf, "documents"))
+_JOB_SQL = "STRUCT(deadline BIGINT, source VARCHAR, k BIGINT, release BIGINT)"
+SQL["op8_mixing_sources"] = f"""
+WITH RECURSIVE sizes AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1),
+shares AS (SELECT source, ceil(n / 16.0)::BIGINT AS blocks,
+                  greatest(1, round(100 * sqrt(n) / (SELECT sum(sqrt(n)) FROM sizes)))::BIGINT AS share FROM sizes),
+parts AS (SELECT period, source, least(share, blocks - period * share) AS b
+          FROM (SELECT *, unnest(range((blocks + share - 1) // share)) AS period FROM shares)),
+jobs AS (SELECT period, slots, {{'deadline': (k * slots + b - 1) // b, 'source': source, 'k': k,
+                                'release': ((k - 1) * slots) // b}}::{_JOB_SQL} AS job
+         FROM (SELECT *, unnest(range(1, b + 1)) AS k
+               FROM (SELECT *, sum(b) OVER (PARTITION BY period)::BIGINT AS slots FROM parts))),
+run(period, slots, t, waiting, job) AS (
+  SELECT period, any_value(slots), 0::BIGINT, list(job), NULL::{_JOB_SQL} FROM jobs GROUP BY period
+  UNION ALL
+  SELECT period, slots, t + 1, list_filter(waiting, lambda j: j <> pick), pick
+  FROM (SELECT *, list_sort(list_filter(waiting, lambda j: j.release <= t))[1] AS pick FROM run WHERE t < slots)),
+slotted AS (SELECT period, job.source AS source, job.k AS k, period * (SELECT sum(share)::BIGINT FROM shares) + t - 1 AS slot
+            FROM run WHERE t > 0),
+ranks AS (SELECT doc_id, coalesce(source, '') AS source,
+                 row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5(doc_id::VARCHAR)) - 1 AS r FROM documents),
+blocks AS (SELECT doc_id, source, r, r // 16 AS block, (r // 16) // share AS period, (r // 16) % share + 1 AS k
+           FROM ranks JOIN shares USING (source))
+SELECT doc_id, source, block, slot, slot * 16 + r % 16 AS place FROM blocks JOIN slotted USING (period, source, k)
+"""
+
 QUERIES["op9_quality_rules"] = lambda spark, sf: quality.judge_quality(table(spark, sf, "documents"))
