@@ -66,7 +66,8 @@ def token_counts(urls: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
         return {}
     found = urls.select(F.explode(F.array_distinct(F.expr(f"regexp_extract_all(concat(host, path), '{TOKEN}', 0)"))).alias("token"))
     known = urls.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
-    return {r.token: r.n for r in found.join(known, "token").groupBy("token").agg(F.count("*").alias("n")).collect()}
+    counts = found.groupBy("token").agg(F.count("*").alias("n"))  # before the join, as one token may stand in every URL
+    return {r.token: r.n for r in counts.join(known, "token").collect()}
 
 
 def index_rules(rules: Sequence[Rule], counts: dict[str, int]) -> dict[str, list[Rule]]:
