@@ -90,7 +90,7 @@ def hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 def joined(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     """Fingerprints of k neighbours in a row, in order."""
     n = max(0, len(h) - k + 1)
-    out = np.full(n, U(seed) * U(0xA24BAED4963EE407))
+    out = np.full(n, U(seed * 0xA24BAED4963EE407 % 2**64))
     for i in range(k):
         out = mix((out + h[i : i + n]) * U(0x9FB21C651E98DF25))
     return out

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from caudal.llm import exact, mixing, packing, pii, quality, urls
+from caudal.llm import exact, mixing, packing, pii, quality, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,6 +56,10 @@ QUERIES["op3_best_fit_packing"] = lambda spark, sf: packing.pack(table(spark, sf
 
 QUERIES["op4_pii"] = lambda spark, sf: pii.personal_data(table(spark, sf, "documents"))
 
+QUERIES["op5_substring_dedup"] = lambda spark, sf: substrings.remove_repeats(table(spark, sf, "documents")).select(
+    "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+)
+
 QUERIES["op8_mixing_sources"] = lambda spark, sf: mixing.mix(table(spark, sf, "documents"))
 _JOB_SQL = "STRUCT(deadline BIGINT, source VARCHAR, k BIGINT, release BIGINT)"
 SQL["op8_mixing_sources"] = f"""
