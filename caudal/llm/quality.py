@@ -139,15 +139,17 @@ def robust_distances(rows: DataFrame, stage: Stage) -> DataFrame:
 
     Deterministic concentration: the start is the mean and covariance of the group's central part by
     distance to its plain estimate; each step keeps the nearest three quarters of the rows and estimates
-    anew, which never raises the determinant. Only counts and sums of a group are gathered.
+    anew, which never raises the determinant. Only counts and sums of a group are gathered; they are written,
+    a row a group, so that the join with a group's rows is one that Spark can split.
     """
     moments = _moments(rows)
     for step in range(STEPS):
         near = _distances(rows, moments)
-        part = near.join(_quantile(near, SUPPORT, "edge").select(*_KEY, "edge"), _KEY).where(_bucket() <= F.col("edge"))
+        edges = stage.put(_quantile(near, SUPPORT, "edge").select(*_KEY, "edge"), f"edges{step}")
+        part = near.join(edges, _KEY).where(_bucket() <= F.col("edge"))
         moments = stage.put(_moments(part), f"moments{step}")  # a row a group
     near = _distances(rows, moments)
-    middle = _quantile(near, 0.5, "middle")
+    middle = stage.put(_quantile(near, 0.5, "middle"), "middle")
     scale = MEDIAN / F.exp((F.col("middle") + 1) / 100)
     return near.join(middle, _KEY).withColumn("d", F.col("d") * F.least(scale, F.lit(1.0)))
 
