@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import gc
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,34 @@ def shared_folder(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stage"
 
 
+def _file(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, whose functions run in their Python workers; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    name = f"{shared_folder(spark)}/caudal-{uuid.uuid4().hex}.zip"
+    path, system = _file(spark, name)
+    stream = system.create(path)
+    stream.write(bytearray(archive.getvalue()))
+    stream.close()
+    system.deleteOnExit(path)
+    context.addPyFile(name)
+    _shipped.add(context.applicationId)
+
+
 class Stage:
     """A folder of intermediate tables.
 
@@ -28,13 +59,10 @@ class Stage:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/caudal-{uuid.uuid4().hex}"
-        path, system = self._file(self.root)
+        path, system = _file(spark, self.root)
         system.mkdirs(path)
         system.deleteOnExit(path)
-
-    def _file(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        ship(spark)
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         """Write a frame and read it again; shuffle files of the finished work are given back."""
@@ -47,5 +75,5 @@ class Stage:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            path, system = self._file(f"{self.root}/{name}")
+            path, system = _file(self.spark, f"{self.root}/{name}")
             system.delete(path, True)

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caudal.llm.stage import ship
+
 TOKEN = "[0-9A-Za-z]+"
 #: The rules travel with every task, so their number is bounded.
 MAX_RULES = 1_000_000
@@ -89,6 +91,7 @@ def judge_urls(
     """
     if len(rules) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
+    ship(pages.sparkSession)
     urls = pages.select(F.col(id_col).alias("id"), url_host(url_col).alias("host"), url_path(url_col).alias("path"))
     index = index_rules(rules, token_counts(urls, rules))
 
