@@ -1,7 +1,9 @@
 """Many small facts about places in documents, sent between tasks as few binary rows.
 
-A place is (document id, digest of its text, number in the text). A parcel holds columns
-of numbers for places of several documents, and each document once.
+A task numbers the places in the documents it holds at a time, and sends such numbers with columns of values
+to buckets. Which document and place a number means is sent once, as the sender's table; answers come back
+under the sender's name and are joined with it. The name is a digest of the documents, so a task that is run
+again has the same one; an answer without its table is an error, never a lost place.
 """
 
 from __future__ import annotations
@@ -14,70 +16,128 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caudal.llm.arrays import U, mix
+
+PARCELS = "bucket int, kind int, parcel binary"
+ANSWERS = "sender long, kind int, parcel binary"
 PLACES = "doc_id long, digest long, places binary"
+#: values to compare; places that are known already; the sender's table
+VALUES, KNOWN, TABLE = range(3)
 
 
 class Documents(NamedTuple):
-    """What a task holds of its documents: ids, digests, and how many entries each has."""
+    """What a task holds of its documents: ids, digests of the texts, and how many places each has."""
 
     ids: np.ndarray
     digests: np.ndarray
     counts: np.ndarray
 
+    @property
+    def sender(self) -> int:
+        order = np.arange(len(self.ids), dtype=np.uint64)
+        return int(mix(mix(self.ids.astype(U) ^ mix(self.digests.astype(U))) + order).sum(dtype=U).astype(np.int64))
+
 
 def merge(parts: list[Documents]) -> Documents:
     return Documents(*(np.concatenate(c) for c in zip(*parts, strict=True)))
 
 
-def seal(docs: Documents, entries: np.ndarray, *columns: np.ndarray) -> bytes:
-    """``entries`` number the places over all documents of ``docs``, ascending or not."""
-    ends = np.cumsum(docs.counts)
-    used = np.unique(np.searchsorted(ends, entries, "right"))
-    begins = (ends - docs.counts)[used]
-    head = np.array([len(used), len(entries)], np.int64)
-    parts = [head, docs.ids[used], docs.digests[used], begins.astype(np.int64), entries.astype(np.uint32), *columns]
-    return b"".join(p.tobytes() for p in parts)
-
-
-def unseal(parcel: bytes, *kinds: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of every place: document id, digest, number in its text; and the columns, of the named kinds."""
-    n_docs, n = np.frombuffer(parcel, np.int64, 2)
-    at = 16
-    ids, digests, begins = (np.frombuffer(parcel, np.int64, n_docs, at + 8 * n_docs * i) for i in range(3))
-    at += 24 * n_docs
-    entries = np.frombuffer(parcel, np.uint32, n, at).astype(np.int64)
-    at += 4 * n
-    columns = []
-    for kind in kinds:
+def seal(sender: int, numbers: np.ndarray, *columns: np.ndarray) -> bytes:
+    return b"".join(x.tobytes() for x in (np.array([sender, len(numbers)]), numbers.astype(np.uint32), *columns))
+
+
+def unseal(parcel: bytes, *kinds: type) -> tuple[int, list[np.ndarray]]:
+    """The sender; the numbers and the columns, of the named kinds."""
+    sender, n = np.frombuffer(parcel, np.int64, 2)
+    columns, at = [], 16
+    for kind in (np.uint32, *kinds):
         columns.append(np.frombuffer(parcel, kind, n, at))
         at += columns[-1].nbytes
-    doc = np.searchsorted(begins, entries, "right") - 1
-    return ids[doc], digests[doc], entries - begins[doc], columns
+    return int(sender), columns
+
+
+def parcels(docs: Documents, bucket: np.ndarray, numbers: np.ndarray, columns: list[np.ndarray], known: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Rows with the values for each bucket, the places known already, and the table."""
+    sender = docs.sender
+    order = np.lexsort((numbers, bucket))
+    bucket, numbers, columns = bucket[order], numbers[order], [c[order] for c in columns]
+    starts = groups(bucket)
+    rows = [
+        (int(bucket[a]), VALUES, seal(sender, numbers[a:b], *[c[a:b] for c in columns]))
+        for a, b in zip(starts, np.append(starts, len(bucket))[1:], strict=True)
+    ]
+    own = sender % parts
+    if len(known):
+        rows.append((own, KNOWN, seal(sender, known)))
+    rows.append((own, TABLE, seal(sender, docs.counts, docs.ids, docs.digests)))
+    buckets, kinds, blobs = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(buckets, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "kind", "parcel"]
+    )
+
 
+def received(batches: Iterator[pa.RecordBatch], answers: list[tuple[int, int, bytes]], *kinds: type) -> list[np.ndarray] | None:
+    """Sender, number and columns of all values; what is known already is put to ``answers``."""
+    values = []
+    for batch in batches:
+        for kind, parcel in zip(batch["kind"].to_pylist(), batch["parcel"].to_pylist(), strict=True):
+            if kind == VALUES:
+                sender, columns = unseal(parcel, *kinds)
+                values.append((np.full(len(columns[0]), sender), *columns))
+            else:
+                answers.append((unseal(parcel)[0], kind, parcel))
+    return [np.concatenate(c) for c in zip(*values, strict=True)] if values else None
+
+
+def answer_rows(answers: list[tuple[int, int, bytes]], senders: np.ndarray, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The known answers and those now found, by sender."""
+    order = np.lexsort((numbers, senders))
+    senders, numbers = senders[order], numbers[order]
+    starts = groups(senders)
+    found = [
+        (int(senders[a]), KNOWN, seal(int(senders[a]), numbers[a:b])) for a, b in zip(starts, np.append(starts, len(senders))[1:], strict=True)
+    ]
+    for row in answers + found:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([row[0]], pa.int64()), pa.array([row[1]], pa.int32()), pa.array([row[2]], pa.binary())], ["sender", "kind", "parcel"]
+        )
+
+
+def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows in batch["rows"].to_pylist():
+            tables = [r["parcel"] for r in rows if r["kind"] == TABLE]
+            if not tables:
+                raise RuntimeError("places without the table of their sender: the input's rows were not dealt alike twice")
+            numbers = [unseal(r["parcel"])[1][0] for r in rows if r["kind"] == KNOWN]
+            if not numbers:
+                continue
+            places = np.unique(np.concatenate(numbers)).astype(np.int64)
+            counts, ids, digests = unseal(tables[0], np.int64, np.int64)[1]
+            ends = np.cumsum(counts.astype(np.int64))
+            cuts = np.searchsorted(places, np.append(0, ends))
+            used = np.flatnonzero(np.diff(cuts))
+            blobs = [(places[cuts[i] : cuts[i + 1]] - (ends[i] - counts[i])).astype(np.int32).tobytes() for i in used]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[used]), pa.array(digests[used]), pa.array(blobs, pa.binary())], ["doc_id", "digest", "places"]
+            )
 
-def by_document(ids: np.ndarray, digests: np.ndarray, places: np.ndarray) -> pa.RecordBatch | None:
-    """A row per document with its places as 32-bit numbers."""
-    if not len(ids):
-        return None
-    order = np.lexsort((places, digests, ids))
-    ids, digests, places = ids[order], digests[order], places[order].astype(np.int32)
-    new = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (digests[1:] != digests[:-1]))))
-    ends = np.append(new[1:], len(ids))
-    blobs = [places[a:b].tobytes() for a, b in zip(new, ends, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(ids[new]), pa.array(digests[new]), pa.array(blobs, pa.binary())], ["doc_id", "digest", "places"])
 
+def by_document(answers: DataFrame) -> DataFrame:
+    """doc_id, digest, places of the documents that have any, from the answers to their senders.
 
-def gathered(places: DataFrame) -> DataFrame:
-    """All places of a document in one row; they are fewer than the words or bytes of its text."""
-    return places.groupBy("doc_id", "digest").agg(F.collect_list("places").alias("places"))
+    What a sender gets is bounded by what it sent at a time. Rows that repeat a document give one.
+    """
+    held = answers.groupBy("sender").agg(F.collect_list(F.struct("kind", "parcel")).alias("rows"))
+    return held.select("rows").mapInArrow(_expand, PLACES).dropDuplicates(["doc_id", "digest"])
 
 
-def place_array(blobs: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs or []), np.int32)
+def place_array(blob: bytes | None) -> np.ndarray:
+    return np.frombuffer(blob or b"", np.int32)
 
 
 def partitions(df: DataFrame) -> int:
-    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def groups(*keys: np.ndarray) -> np.ndarray:
@@ -87,18 +147,3 @@ def groups(*keys: np.ndarray) -> np.ndarray:
     for key in keys:
         new[1:] |= key[1:] != key[:-1]
     return np.flatnonzero(new)
-
-
-def blobs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
-    for batch in batches:
-        yield from zip(batch["kind"].to_pylist(), batch["parcel"].to_pylist(), strict=True)
-
-
-PARCELS = "bucket int, kind int, parcel binary"
-
-
-def parcel_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    buckets, kinds, parcels = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(buckets, pa.int32()), pa.array(kinds, pa.int32()), pa.array(parcels, pa.binary())], ["bucket", "kind", "parcel"]
-    )

@@ -1,11 +1,14 @@
 """Regions: sets that share a key, joined exactly by their Jaccard distance.
 
 ``meet`` finds the nodes that share a key with another node. ``join_regions`` links the nodes of each region
-that are similar enough and gives connected components. One minus the Jaccard similarity is a metric. In each
-round the most central node of a region is its pivot and every other one is measured against it. Those within
-the threshold form the pivot's cell and are linked. Of the cell only those stay for the next round that the
-triangle inequality lets be near a node outside; the region without its pivot and the rest of the cell is
-joined again, until all its nodes are in one component or none is left. No pair is formed but with a pivot.
+that are similar enough and gives connected components. In each round the most central node of a region is its
+pivot, and every other one is measured against it and against nothing else. Nodes within the threshold are
+the pivot's cell and linked with it. A link between two others, one of them outside the cell, is left to find.
+By the triangle inequality what x and y differ in from the pivot, dx and dy, must then largely agree: they have
+at least (|dx| + |dy| - |xy|) / 2 shingles in common, |xy| being the most that similar sets differ in. So each
+node goes on to the regions of the first shingles of its difference, as many as make sure that two such nodes
+meet, those that the pivot doesn't have first. A cell's nodes near the pivot go to few regions or none. The new
+regions are joined in the same way, until all nodes of each are in one component or none has two nodes.
 """
 
 from __future__ import annotations
@@ -53,7 +56,7 @@ def _cut(bucket: np.ndarray, kind: int, *columns: np.ndarray) -> list[tuple[int,
     order = np.argsort(bucket, kind="stable")
     bucket, columns = bucket[order], [c[order] for c in columns]
     starts = P.groups(bucket)
-    ends = np.append(starts[1:], len(bucket))
+    ends = np.append(starts, len(bucket))[1:]
     return [(int(bucket[i]), kind, b"".join(c[i:j].tobytes() for c in columns)) for i, j in zip(starts, ends, strict=True)]
 
 
@@ -117,26 +120,60 @@ def meet(docs: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Iterator
     return docs.mapInArrow(send, P.PARCELS).repartitionById(parts, "bucket").mapInArrow(found, "region long, node binary")
 
 
-def _measure(pairs: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.ndarray]) -> DataFrame:
-    """node, pivot, common, total: sizes of the intersection and the union of their shingles."""
+def first_differences(own: np.ndarray, pivot: np.ndarray, percent: int) -> tuple[bool, np.ndarray]:
+    """Whether the sets are similar enough, and the shingles under which ``own`` goes on.
+
+    With c = (1 - t) / (1 + t), similar sets x and y differ in at most c (|x| + |y|) shingles, and in at most
+    |x| (1 - t) / t. In the cell, a node meets nodes outside it, which differ from the pivot in more than
+    c (|y| + |pivot|). Outside, it meets any node with a difference of its own. Either bound below is at least 1.
+    """
+    added, removed = np.setdiff1d(own, pivot, True), np.setdiff1d(pivot, own, True)
+    n, common = len(added) + len(removed), len(own) - len(added)
+    linked = 100 * common >= percent * (common + n)
+    if linked:
+        # floor((n + c (|pivot| - |own|)) / 2) + 1, in whole numbers
+        least = ((100 + percent) * n + (100 - percent) * (len(pivot) - len(own))) // (2 * (100 + percent)) + 1
+    else:
+        most = len(own) * (100 - percent) // percent
+        least = -(-(n + max(1, n - most) - most) // 2)
+    return linked, np.concatenate((added, removed))[: n - max(1, least) + 1]
+
+
+def _measure(pairs: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.ndarray], percent: int) -> DataFrame:
+    """node, pivot, linked, firsts."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, of_last = None, None
+        last, of_last = None, np.zeros(0, U)
         for batch in batches:
-            common, total = [], []
-            for pivot, shape, other in zip(*(batch[c].to_pylist() for c in ("pivot", "shape", "pivot_shape")), strict=True):
-                if pivot != last:
-                    last, of_last = pivot, shingles(other)
-                own = shingles(shape)
-                same = len(np.intersect1d(own, of_last, assume_unique=True))
-                common.append(same)
-                total.append(len(own) + len(of_last) - same)
-            yield pa.RecordBatch.from_arrays(
-                [batch["node"], batch["pivot"], pa.array(common, pa.int64()), pa.array(total, pa.int64())], ["node", "pivot", "common", "total"]
-            )
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                linked, firsts = [], []
+                for pivot, shape, other in zip(*(part[c].to_pylist() for c in ("pivot", "shape", "pivot_shape")), strict=True):
+                    if pivot != last:
+                        last, of_last = pivot, shingles(other)
+                    similar, first = first_differences(shingles(shape), of_last, percent)
+                    linked.append(similar)
+                    firsts.append(first.astype(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [part["node"], part["pivot"], pa.array(linked, pa.bool_()), pa.array(firsts, pa.list_(pa.int64()))],
+                    ["node", "pivot", "linked", "firsts"],
+                )
 
     both = pairs.join(shapes, "node").join(shapes.select(F.col("node").alias("pivot"), F.col("shape").alias("pivot_shape")), "pivot")
-    return both.mapInArrow(measure, "node binary, pivot binary, common long, total long")
+    return both.mapInArrow(measure, "node binary, pivot binary, linked boolean, firsts array<long>")
+
+
+def _open(regions: DataFrame, components: DataFrame | None) -> DataFrame:
+    """region, node, degree of the regions that still join components; regions of the same nodes once."""
+    if components is None:
+        rows = regions.withColumn("component", F.col("node"))
+    else:
+        rows = regions.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    several = rows.groupBy("region").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), *marks)
+    kept = several.where("low <> high").groupBy("n", "mark0", "mark1").agg(F.min("region").alias("region")).select("region")
+    degrees = regions.groupBy("node").agg(F.count("*").alias("degree"))
+    return regions.join(kept, "region").join(degrees, "node").select("region", "node", "degree")
 
 
 def join_regions(
@@ -145,35 +182,23 @@ def join_regions(
     """node, component: nodes connected by links of at least ``percent`` similarity inside some region.
 
     ``shapes`` has a node's text, once, and ``shingles`` makes it a sorted array of distinct numbers. Nodes
-    without a link are left out.
+    without a link may be left out.
     """
-    theta = (100 - percent) / 100 + 1e-9
-    marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
-    alike = regions.groupBy("region").agg(F.count("*").alias("n"), *marks).where("n > 1")
-    kept = alike.groupBy("n", "mark0", "mark1").agg(F.min("region").alias("region")).select("region")  # regions of the same nodes, once
-    degrees = regions.groupBy("node").agg(F.count("*").alias("degree"))
-    rows = regions.join(kept, "region").join(degrees, "node").select("region", "node", "degree", F.col("node").alias("component"))
-    rows = stage.put(rows, "open-0")
+    rows = stage.put(_open(regions, None), "open-0")
     measured = components = None
     step = 0
     while not rows.isEmpty():
-        top = rows.groupBy("region").agg(F.max(F.struct("degree", "node", "component")).alias("top"))
-        top = top.select("region", F.col("top.node").alias("pivot"), F.col("top.component").alias("pivot_component"))
-        met = rows.join(top, "region").where(F.col("node") != F.col("pivot"))
-        asked = met.where(F.col("component") != F.col("pivot_component")).select("node", "pivot").distinct()
-        if measured is not None:
-            asked = asked.join(measured, ["node", "pivot"], "left_anti")
-        new = stage.put(_measure(asked, shapes, shingles), f"measured-{step}")
+        top = rows.groupBy("region").agg(F.max(F.struct("degree", "node")).alias("top")).select("region", F.col("top.node").alias("pivot"))
+        met = rows.join(top, "region").where(F.col("node") != F.col("pivot")).select("node", "pivot").distinct()
+        asked = met if measured is None else met.join(measured.select("node", "pivot"), ["node", "pivot"], "left_anti")
+        new = stage.put(_measure(asked, shapes, shingles, percent), f"measured-{step}")
         measured = new if measured is None else measured.unionByName(new)
-        links = new.where(100 * F.col("common") >= percent * F.col("total")).select("node", "pivot")
-        components = stage.put(connected(links if components is None else links.union(components), stage, f"stars-{step}"), f"components-{step}")
-        # of the cell, d <= theta, only those within theta of where the outside begins can have a link outside
-        seen = met.join(measured, ["node", "pivot"], "left").withColumn("d", 1 - F.col("common") / F.col("total"))
-        outside = seen.groupBy("region").agg(F.min(F.when(F.col("d") > theta, F.col("d"))).alias("outside"))
-        unknown = F.col("d").isNull() | (F.col("d") > theta) | F.col("outside").isNull()
-        rest = seen.join(outside, "region").where(unknown | (F.col("d") + theta >= F.col("outside"))).select("region", "node", "degree")
-        rest = rest.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = rest.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        links = new.where("linked").select("node", "pivot")
+        components = connected(links if components is None else links.union(components), stage, f"stars-{step}")
+        known = met.join(measured, ["node", "pivot"])
+        further = known.select("node", F.explode("firsts").alias("first"), "pivot").select(F.xxhash64("pivot", "first").alias("region"), "node")
+        further = stage.put(further.distinct(), f"regions-{step}")
         step += 1
-        rows = stage.put(rest.join(split.select("region"), "region"), f"open-{step}")
-    return components if components is not None else rows.select("node", "component")
+        rows = stage.put(_open(further, components), f"open-{step}")
+        stage.drop(f"open-{step - 1}", f"regions-{step - 1}")
+    return components if components is not None else rows.select("node", F.col("node").alias("component"))

@@ -64,13 +64,21 @@ class Stage:
         system.deleteOnExit(path)
         ship(spark)
 
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a frame and read it again; shuffle files of the finished work are given back."""
+    def put(self, df: DataFrame, name: str, free: bool = True) -> DataFrame:
+        """Write a frame and read it again. ``free`` gives the shuffle files of the finished work back.
+
+        Spark removes them when the driver has collected their dependency, and what refers to it is
+        finalised first.
+        """
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
         schema = df.schema
         del df
-        gc.collect()
-        self.spark._jvm.System.gc()  # Spark removes shuffle files when their dependency is collected
+        if free:
+            gc.collect()
+            system = self.spark._jvm.System
+            system.gc()
+            system.runFinalization()
+            system.gc()
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:

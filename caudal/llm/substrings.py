@@ -78,16 +78,6 @@ def _held(batches: Iterator[tuple[P.Documents, tuple[np.ndarray, ...]]]) -> Iter
         yield P.merge(docs), [np.concatenate(c) for c in zip(*columns, strict=True)]
 
 
-def _parcels(docs: P.Documents, bucket: np.ndarray, entries: np.ndarray, columns: list[np.ndarray], kind: int) -> list[tuple[int, int, bytes]]:
-    order = np.argsort(bucket, kind="stable")
-    bucket, entries, columns = bucket[order], entries[order], [c[order] for c in columns]
-    starts = P.groups(bucket) if len(bucket) else []
-    ends = [*starts[1:], len(bucket)]
-    return [
-        (int(bucket[a]), kind, P.seal(docs, entries[a:b], *[c[a:b] for c in columns])) for a, b in zip(starts, ends, strict=True)
-    ]
-
-
 def _probes(block: int, window: int, parts: int):
     """Sends blocks and probes; what documents of the task share is known at once."""
 
@@ -111,40 +101,26 @@ def _probes(block: int, window: int, parts: int):
             nth_fixed = np.cumsum(fixed) - np.repeat((np.cumsum(fixed) - fixed)[starts], sizes)
             sent = first | (fixed & ~fixed_first & (nth_fixed == 1))
             shared = np.repeat((least != most) & has_fixed, sizes)
-            rows = _parcels(docs, ((key[sent] & _LOW) % U(parts)).astype(np.int32), order[sent], [(key[sent] >> _HIGH).astype(np.uint32)], 0)
-            known = order[shared]
-            rows += _parcels(docs, (docs.ids[doc[known]] % parts).astype(np.int32), known, [], 1)
-            yield P.parcel_rows(rows)
+            short = (key[sent] >> _HIGH).astype(np.uint32) & ~np.uint32(1) | fixed[sent]
+            yield P.parcels(docs, ((key[sent] & _LOW) % U(parts)).astype(np.int32), order[sent], [short], order[shared], parts)
 
     return send
 
 
-def _collect(batches: Iterator[pa.RecordBatch], *kinds: type):
-    """Known places, and the sent ones with their columns, of all parcels of a partition."""
-    known, sent = [], []
-    for kind, parcel in P.blobs_of(batches):
-        ids, digests, places, values = P.unseal(parcel, *(() if kind else kinds))
-        (known if kind else sent).append((ids, digests, places, *values))
-    join = lambda parts, n: [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * n
-    return join(known, 3), join(sent, 3 + len(kinds))
-
-
-def _hits(block: int):
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Places whose words some other document has too, one of them as a fixed block."""
-        known, (ids, digests, places, keys) = _collect(batches, np.uint32)
-        if len(ids):
-            order = np.lexsort((ids, keys))
-            key, doc, fixed = keys[order], ids[order], places[order] % block == 0
-            starts = P.groups(key)
-            sizes = np.diff(np.append(starts, len(key)))
-            hit = order[np.repeat((doc[starts] != doc[starts + sizes - 1]) & np.logical_or.reduceat(fixed, starts), sizes)]
-            known = [np.concatenate((a, b[hit])) for a, b in zip(known, (ids, digests, places), strict=True)]
-        batch = P.by_document(*known)
-        if batch is not None:
-            yield batch
-
-    return hits
+def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places whose words some other document has too, one of them as a fixed block."""
+    answers: list[tuple[int, int, bytes]] = []
+    hit = [np.zeros(0, np.int64)] * 2
+    values = P.received(batches, answers, np.uint32)
+    if values is not None:
+        senders, numbers, keys = values
+        order = np.lexsort((senders, keys >> 1))
+        key, sender, fixed = keys[order] >> 1, senders[order], (keys[order] & 1).astype(bool)
+        starts = P.groups(key)
+        sizes = np.diff(np.append(starts, len(key)))
+        found = order[np.repeat((sender[starts] != sender[starts + sizes - 1]) & np.logical_or.reduceat(fixed, starts), sizes)]
+        hit = [senders[found], numbers[found]]
+    yield from P.answer_rows(answers, *hit)
 
 
 def _compare(block: int, window: int, parts: int):
@@ -157,8 +133,8 @@ def _compare(block: int, window: int, parts: int):
             checks, _ = _windows(hashes, before, window, 3, window)
             asked = np.zeros(len(keys), bool)
             begins = np.cumsum(counts) - counts
-            for n, (blobs, begin, count) in enumerate(zip(batch["places"].to_pylist(), begins, counts, strict=True)):
-                at = P.place_array(blobs)
+            for blob, begin, count in zip(batch["places"].to_pylist(), begins, counts, strict=True):
+                at = P.place_array(blob)
                 # a window holds the block at p if it begins at p - (window - block) .. p
                 asked[begin : begin + count] = A.within(np.maximum(at - (window - block), 0), np.minimum(at + 1, count), count) if count else False
             yield _documents(batch, counts), (keys, checks, asked)
@@ -169,39 +145,37 @@ def _compare(block: int, window: int, parts: int):
             at = np.flatnonzero(asked)
             order = at[np.lexsort((rank[at], checks[at], keys[at]))]
             key, check, rank = keys[order], checks[order], rank[order]
-            if not len(key):
-                continue
             starts = P.groups(key, check)
             first = rank == np.repeat(rank[starts], np.diff(np.append(starts, len(key))))
-            rows = _parcels(docs, ((key[first] & _LOW) % U(parts)).astype(np.int32), order[first], [key[first], (check[first] >> _HIGH).astype(np.uint32)], 0)
-            known = order[~first]
-            rows += _parcels(docs, (docs.ids[doc[known]] % parts).astype(np.int32), known, [], 1)
-            yield P.parcel_rows(rows)
+            sent = order[first]
+            columns = [key[first], (check[first] >> _HIGH).astype(np.uint32), docs.ids[doc[sent]]]
+            yield P.parcels(docs, ((key[first] & _LOW) % U(parts)).astype(np.int32), sent, columns, order[~first], parts)
 
     return send
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows that a smaller document has too."""
-    known, (ids, digests, places, keys, checks) = _collect(batches, np.uint64, np.uint32)
-    if len(ids):
+    answers: list[tuple[int, int, bytes]] = []
+    late = [np.zeros(0, np.int64)] * 2
+    values = P.received(batches, answers, np.uint64, np.uint32, np.int64)
+    if values is not None:
+        senders, numbers, keys, checks, ids = values
         order = np.lexsort((ids, checks, keys))
         key, check, doc = keys[order], checks[order], ids[order]
         starts = P.groups(key, check)
-        late = order[doc != np.repeat(doc[starts], np.diff(np.append(starts, len(key))))]
-        known = [np.concatenate((a, b[late])) for a, b in zip(known, (ids, digests, places), strict=True)]
-    batch = P.by_document(*known)
-    if batch is not None:
-        yield batch
+        found = order[doc != np.repeat(doc[starts], np.diff(np.append(starts, len(key))))]
+        late = [senders[found], numbers[found]]
+    yield from P.answer_rows(answers, *late)
 
 
 def _cut(window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in A.chunks(batches):
             texts, n_words, n_removed, spans = [], [], [], []
-            for text, blobs in zip(batch["text"].to_pylist(), batch["places"].to_pylist(), strict=True):
+            for text, blob in zip(batch["text"].to_pylist(), batch["places"].to_pylist(), strict=True):
                 words = (text or "").encode().split()
-                at = P.place_array(blobs)
+                at = P.place_array(blob)
                 gone = A.within(at, at + window, len(words)) if len(at) else np.zeros(len(words), bool)
                 begins, ends = A.spans(gone) if len(at) else ((), ())
                 texts.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if len(at) else words).decode())
@@ -231,13 +205,11 @@ def remove_repeats(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     rows = rows.withColumn("digest", F.xxhash64("text"))
     parts = P.partitions(docs)
     some = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    hits = stage.put(
-        some.mapInArrow(_probes(block, window, parts), P.PARCELS).repartitionById(parts, "bucket").mapInArrow(_hits(block), P.PLACES), "hits"
-    )
-    asked = some.join(P.gathered(hits), ["doc_id", "digest"]).select("doc_id", "digest", "text", "places")
-    late = stage.put(
-        asked.mapInArrow(_compare(block, window, parts), P.PARCELS).repartitionById(parts, "bucket").mapInArrow(_later, P.PLACES), "late"
-    )
+    deal = lambda sent: sent.repartitionById(parts, "bucket")
+    hits = stage.put(deal(some.mapInArrow(_probes(block, window, parts), P.PARCELS)).mapInArrow(_hits, P.ANSWERS), "hits")
+    asked = stage.put(some.join(P.by_document(hits), ["doc_id", "digest"]), "asked")
     stage.drop("hits")
-    judged = rows.join(P.gathered(late), ["doc_id", "digest"], "left").select("doc_id", "text", "places")
+    late = stage.put(deal(asked.mapInArrow(_compare(block, window, parts), P.PARCELS)).mapInArrow(_later, P.ANSWERS), "late")
+    stage.drop("asked")
+    judged = rows.join(P.by_document(late), ["doc_id", "digest"], "left").select("doc_id", "text", "places")
     return judged.mapInArrow(_cut(window), "doc_id long, text string, n_words long, n_removed long, spans array<array<long>>")
