@@ -75,9 +75,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
-    up, _ = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U)
-    np.cumsum(_BYTES[data] * up[:-1], out=sums[1:])
+    """Sums that give the fingerprint of any stretch of bytes."""
+    return value_sums(_BYTES[data])
+
+
+def value_sums(values: np.ndarray) -> np.ndarray:
+    """The same for a sequence of well spread 64-bit values."""
+    up, _ = powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, U)
+    np.cumsum(values * up[:-1], out=sums[1:])
     return sums
 
 

@@ -17,23 +17,26 @@ def connected(edges: DataFrame, stage: Stage, name: str) -> DataFrame:
 
     Union-find as large and small stars: each node points its larger neighbours, then its smaller ones,
     at the least of all of them, until every component is a star around its smallest node. A node's
-    neighbours are never gathered; they are met by a join, which Spark splits for a node with very many.
+    neighbours are never gathered; they are met by a join. What each node points to is written first, so that
+    both sides of the join come from tables and Spark can split it for a node with very many neighbours.
     """
     a, b = edges.columns[:2]
     pairs = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     before, step = None, 0
     while True:
-        pairs = stage.put(pairs, f"{name}-{step}")
+        pairs = stage.put(pairs, f"{name}-{step}", free=False)
         if step:
-            stage.drop(f"{name}-{step - 1}")
+            stage.drop(*(f"{name}-{n}" for n in (step - 1, f"{step}-large", f"{step}-turned", f"{step}-small")))
         now = _state(pairs)
         if now == before or not now[0]:
             break
         before, step = now, step + 1
         both = pairs.union(pairs.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = stage.put(least, f"{name}-{step}-large", free=False)
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stage.put(large, f"{name}-{step}-turned", free=False)
+        least = stage.put(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-{step}-small", free=False)
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = small.union(least).distinct()
     members = pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))

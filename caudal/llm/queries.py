@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import exact, jaccard, mixing, packing, pii, quality, substrings, urls
+from caudal.llm import exact, jaccard, lines, mixing, packing, pii, quality, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,6 +46,9 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+QUERIES["op2_line_dedup"] = lambda spark, sf: lines.remove_lines(table(spark, sf, "documents"))
+
+
 def tokenizer() -> str:
     import public_tokenizers
 

@@ -8,7 +8,8 @@ By the triangle inequality what x and y differ in from the pivot, dx and dy, mus
 at least (|dx| + |dy| - |xy|) / 2 shingles in common, |xy| being the most that similar sets differ in. So each
 node goes on to the regions of the first shingles of its difference, as many as make sure that two such nodes
 meet, those that the pivot doesn't have first. A cell's nodes near the pivot go to few regions or none. The new
-regions are joined in the same way, until all nodes of each are in one component or none has two nodes.
+regions are joined in the same way, until all nodes of each are in one component. A region of a few nodes is
+joined at once within one task.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from caudal.llm.stage import Stage
 
 #: Entries that a task holds before it sends them.
 FLUSH = 1 << 20
+#: A region of at most so many nodes is joined within one task; larger ones are divided by a pivot.
+SMALL = 32
 _HIGH = U(32)
 
 #: keys, and the nodes that have them as 64 and 32 bits
@@ -92,7 +95,10 @@ def meet(docs: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Iterator
             if shared.any():
                 region = (bucket << 32 | short.astype(np.int64))[shared]
                 rows += _cut((a[shared] % U(parts)).astype(np.int64), 1, region, a[shared], b[shared])
-            yield P.parcel_rows(rows)
+            buckets, kinds, blobs = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(buckets, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "kind", "parcel"]
+            )
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent, known = [], []
@@ -163,17 +169,54 @@ def _measure(pairs: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.n
     return both.mapInArrow(measure, "node binary, pivot binary, linked boolean, firsts array<long>")
 
 
-def _open(regions: DataFrame, components: DataFrame | None) -> DataFrame:
-    """region, node, degree of the regions that still join components; regions of the same nodes once."""
+def _join_small(regions: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.ndarray], percent: int) -> DataFrame:
+    """node, pivot of links that connect what is connected inside each small region."""
+
+    def join(table: pa.Table) -> pa.Table:
+        nodes = table["node"].to_pylist()
+        sets = [shingles(s) for s in table["shape"].to_pylist()]
+        parents = list(range(len(nodes)))
+
+        def root(i: int) -> int:
+            while parents[i] != i:
+                parents[i] = parents[parents[i]]
+                i = parents[i]
+            return i
+
+        # what an earlier round has connected needs no link
+        first = {}
+        for i, component in enumerate(table["component"].to_pylist()):
+            parents[i] = first.setdefault(component, i)
+        links = []
+        for i in range(len(nodes)):
+            for j in range(i):
+                if root(i) != root(j):
+                    n, m = len(sets[i]), len(sets[j])
+                    if 100 * min(n, m) < percent * max(n, m):
+                        continue
+                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * common >= percent * (n + m - common):
+                        parents[root(i)] = root(j)
+                        links.append((nodes[i], nodes[j]))
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["node", "pivot"])
+
+    rows = regions.join(shapes, "node").select("region", "node", "component", "shape")
+    return rows.groupBy("region").applyInArrow(join, "node binary, pivot binary")
+
+
+def _open(regions: DataFrame, components: DataFrame | None, stage: Stage, name: str) -> DataFrame:
+    """region, n, node, component, degree of the regions that may still join components; regions of the same nodes once."""
     if components is None:
         rows = regions.withColumn("component", F.col("node"))
     else:
         rows = regions.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
     several = rows.groupBy("region").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), *marks)
-    kept = several.where("low <> high").groupBy("n", "mark0", "mark1").agg(F.min("region").alias("region")).select("region")
+    kept = several.where("low <> high").groupBy("n", "mark0", "mark1").agg(F.min("region").alias("region")).select("region", "n")
+    kept = stage.put(kept, f"{name}-kept", free=False)  # from a table, so that the join can be split for a large region
     degrees = regions.groupBy("node").agg(F.count("*").alias("degree"))
-    return regions.join(kept, "region").join(degrees, "node").select("region", "node", "degree")
+    return rows.join(kept, "region").join(degrees, "node").select("region", "n", "node", "component", "degree")
 
 
 def join_regions(
@@ -184,21 +227,24 @@ def join_regions(
     ``shapes`` has a node's text, once, and ``shingles`` makes it a sorted array of distinct numbers. Nodes
     without a link may be left out.
     """
-    rows = stage.put(_open(regions, None), "open-0")
-    measured = components = None
-    step = 0
+    rows = stage.put(_open(regions, None, stage, "open-0"), "open-0")
+    links = stage.put(_join_small(rows.where(F.col("n") <= SMALL), shapes, shingles, percent), "links-0")
+    components = connected(links, stage, "stars-0")
+    rows, measured, step = rows.where(F.col("n") > SMALL), None, 0
     while not rows.isEmpty():
         top = rows.groupBy("region").agg(F.max(F.struct("degree", "node")).alias("top")).select("region", F.col("top.node").alias("pivot"))
+        top = stage.put(top, f"pivots-{step}", free=False)
         met = rows.join(top, "region").where(F.col("node") != F.col("pivot")).select("node", "pivot").distinct()
         asked = met if measured is None else met.join(measured.select("node", "pivot"), ["node", "pivot"], "left_anti")
         new = stage.put(_measure(asked, shapes, shingles, percent), f"measured-{step}")
         measured = new if measured is None else measured.unionByName(new)
-        links = new.where("linked").select("node", "pivot")
-        components = connected(links if components is None else links.union(components), stage, f"stars-{step}")
         known = met.join(measured, ["node", "pivot"])
         further = known.select("node", F.explode("firsts").alias("first"), "pivot").select(F.xxhash64("pivot", "first").alias("region"), "node")
-        further = stage.put(further.distinct(), f"regions-{step}")
+        further = stage.put(further.distinct(), f"regions-{step}", free=False)
+        stars = connected(new.where("linked").select("node", "pivot").union(components), stage, f"stars-{step}-cells")
         step += 1
-        rows = stage.put(_open(further, components), f"open-{step}")
-        stage.drop(f"open-{step - 1}", f"regions-{step - 1}")
-    return components if components is not None else rows.select("node", F.col("node").alias("component"))
+        rows = stage.put(_open(further, stars, stage, f"open-{step}"), f"open-{step}", free=False)
+        links = stage.put(_join_small(rows.where(F.col("n") <= SMALL), shapes, shingles, percent), f"links-{step}", free=False)
+        components = connected(links.union(stars), stage, f"stars-{step}")
+        rows = rows.where(F.col("n") > SMALL)
+    return components
