@@ -21,8 +21,8 @@ from caudal.llm.arrays import U, mix
 PARCELS = "bucket int, kind int, parcel binary"
 ANSWERS = "sender long, kind int, parcel binary"
 PLACES = "doc_id long, digest long, places binary"
-#: values to compare; places that are known already; the sender's table
-VALUES, KNOWN, TABLE = range(3)
+#: values to compare; the sender's table; places that are found, and places to ask about again
+VALUES, TABLE, FOUND, AGAIN = range(4)
 
 
 class Documents(NamedTuple):
@@ -56,8 +56,15 @@ def unseal(parcel: bytes, *kinds: type) -> tuple[int, list[np.ndarray]]:
     return int(sender), columns
 
 
-def parcels(docs: Documents, bucket: np.ndarray, numbers: np.ndarray, columns: list[np.ndarray], known: np.ndarray, parts: int) -> pa.RecordBatch:
-    """Rows with the values for each bucket, the places known already, and the table."""
+def rows_of(rows: list[tuple[int, int, bytes]], kind: pa.DataType, names: list[str]) -> pa.RecordBatch:
+    first, kinds, blobs = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(first, kind), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], names)
+
+
+def parcels(
+    docs: Documents, bucket: np.ndarray, numbers: np.ndarray, columns: list[np.ndarray], found: tuple[np.ndarray, ...], parts: int
+) -> pa.RecordBatch:
+    """Rows with the values for each bucket, what is found already, and the table."""
     sender = docs.sender
     order = np.lexsort((numbers, bucket))
     bucket, numbers, columns = bucket[order], numbers[order], [c[order] for c in columns]
@@ -66,14 +73,17 @@ def parcels(docs: Documents, bucket: np.ndarray, numbers: np.ndarray, columns: l
         (int(bucket[a]), VALUES, seal(sender, numbers[a:b], *[c[a:b] for c in columns]))
         for a, b in zip(starts, np.append(starts, len(bucket))[1:], strict=True)
     ]
-    own = sender % parts
-    if len(known):
-        rows.append((own, KNOWN, seal(sender, known)))
-    rows.append((own, TABLE, seal(sender, docs.counts, docs.ids, docs.digests)))
-    buckets, kinds, blobs = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(buckets, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "kind", "parcel"]
-    )
+    return parcel_rows(rows + own_rows(docs, found, parts))
+
+
+def own_rows(docs: Documents, found: tuple[np.ndarray, ...], parts: int) -> list[tuple[int, int, bytes]]:
+    sender = docs.sender
+    rows = [(sender % parts, TABLE, seal(sender, docs.counts, docs.ids, docs.digests))]
+    return rows + [(sender % parts, FOUND, seal(sender, *found))] * bool(len(found[0]))
+
+
+def parcel_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    return rows_of(rows, pa.int32(), ["bucket", "kind", "parcel"])
 
 
 def received(batches: Iterator[pa.RecordBatch], answers: list[tuple[int, int, bytes]], *kinds: type) -> list[np.ndarray] | None:
@@ -89,47 +99,50 @@ def received(batches: Iterator[pa.RecordBatch], answers: list[tuple[int, int, by
     return [np.concatenate(c) for c in zip(*values, strict=True)] if values else None
 
 
-def answer_rows(answers: list[tuple[int, int, bytes]], senders: np.ndarray, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The known answers and those now found, by sender."""
-    order = np.lexsort((numbers, senders))
-    senders, numbers = senders[order], numbers[order]
+def answer_rows(answers: list[tuple[int, int, bytes]], kind: int, senders: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The answers there are and those now found, by sender; numbers first, then the ends of stretches if there are any."""
+    order = np.lexsort((columns[0], senders))
+    senders, columns = senders[order], [c[order] for c in columns]
     starts = groups(senders)
     found = [
-        (int(senders[a]), KNOWN, seal(int(senders[a]), numbers[a:b])) for a, b in zip(starts, np.append(starts, len(senders))[1:], strict=True)
+        (int(senders[a]), kind, seal(int(senders[a]), *[c[a:b].astype(np.uint32) for c in columns]))
+        for a, b in zip(starts, np.append(starts, len(senders))[1:], strict=True)
     ]
     for row in answers + found:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([row[0]], pa.int64()), pa.array([row[1]], pa.int32()), pa.array([row[2]], pa.binary())], ["sender", "kind", "parcel"]
-        )
-
-
-def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rows in batch["rows"].to_pylist():
-            tables = [r["parcel"] for r in rows if r["kind"] == TABLE]
-            if not tables:
-                raise RuntimeError("places without the table of their sender: the input's rows were not dealt alike twice")
-            numbers = [unseal(r["parcel"])[1][0] for r in rows if r["kind"] == KNOWN]
-            if not numbers:
-                continue
-            places = np.unique(np.concatenate(numbers)).astype(np.int64)
-            counts, ids, digests = unseal(tables[0], np.int64, np.int64)[1]
-            ends = np.cumsum(counts.astype(np.int64))
-            cuts = np.searchsorted(places, np.append(0, ends))
-            used = np.flatnonzero(np.diff(cuts))
-            blobs = [(places[cuts[i] : cuts[i + 1]] - (ends[i] - counts[i])).astype(np.int32).tobytes() for i in used]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[used]), pa.array(digests[used]), pa.array(blobs, pa.binary())], ["doc_id", "digest", "places"]
-            )
-
-
-def by_document(answers: DataFrame) -> DataFrame:
+        yield rows_of([row], pa.int64(), ["sender", "kind", "parcel"])
+
+
+def _expand(kind: int, stretches: bool):
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in batch["rows"].to_pylist():
+                tables = [r["parcel"] for r in rows if r["kind"] == TABLE]
+                found = [unseal(r["parcel"], *[np.uint32] * stretches)[1] for r in rows if r["kind"] == kind]
+                if not found:
+                    continue
+                if not tables:
+                    raise RuntimeError("places without the table of their sender: the input's rows were not dealt alike twice")
+                columns = np.unique(np.stack([np.concatenate(c) for c in zip(*found, strict=True)], 1), axis=0).astype(np.int64)
+                counts, ids, digests = unseal(tables[0], np.int64, np.int64)[1]
+                ends = np.cumsum(counts.astype(np.int64))
+                cuts = np.searchsorted(columns[:, 0], np.append(0, ends))
+                used = np.flatnonzero(np.diff(cuts))
+                blobs = [(columns[cuts[i] : cuts[i + 1]] - (ends[i] - counts[i])).astype(np.int32).tobytes() for i in used]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[used]), pa.array(digests[used]), pa.array(blobs, pa.binary())], ["doc_id", "digest", "places"]
+                )
+
+    return expand
+
+
+def by_document(answers: DataFrame, kind: int = FOUND, stretches: bool = False) -> DataFrame:
     """doc_id, digest, places of the documents that have any, from the answers to their senders.
 
-    What a sender gets is bounded by what it sent at a time. Rows that repeat a document give one.
+    Places are 32-bit numbers, stretches pairs of begin and end. What a sender gets is bounded by what it sent
+    at a time. Rows that repeat a document give one.
     """
     held = answers.groupBy("sender").agg(F.collect_list(F.struct("kind", "parcel")).alias("rows"))
-    return held.select("rows").mapInArrow(_expand, PLACES).dropDuplicates(["doc_id", "digest"])
+    return held.select("rows").mapInArrow(_expand(kind, stretches), PLACES).dropDuplicates(["doc_id", "digest"])
 
 
 def place_array(blob: bytes | None) -> np.ndarray:

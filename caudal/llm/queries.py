@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import exact, jaccard, lines, mixing, packing, pii, quality, substrings, urls
+from caudal.llm import exact, jaccard, lines, mixing, packing, pii, quality, substrings, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,6 +63,10 @@ QUERIES["op5_substring_dedup"] = lambda spark, sf: substrings.remove_repeats(tab
     "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
 )
 
+QUERIES["op6_suffix_dedup"] = lambda spark, sf: suffixes.remove_repeats(table(spark, sf, "documents")).select(
+    "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+)
+
 QUERIES["op7_jaccard_join"] = lambda spark, sf: jaccard.jaccard_components(table(spark, sf, "documents"), 3, 90)
 
 QUERIES["op8_mixing_sources"] = lambda spark, sf: mixing.mix(table(spark, sf, "documents"))

@@ -102,7 +102,7 @@ def _probes(block: int, window: int, parts: int):
             sent = first | (fixed & ~fixed_first & (nth_fixed == 1))
             shared = np.repeat((least != most) & has_fixed, sizes)
             short = (key[sent] >> _HIGH).astype(np.uint32) & ~np.uint32(1) | fixed[sent]
-            yield P.parcels(docs, ((key[sent] & _LOW) % U(parts)).astype(np.int32), order[sent], [short], order[shared], parts)
+            yield P.parcels(docs, ((key[sent] & _LOW) % U(parts)).astype(np.int32), order[sent], [short], (order[shared],), parts)
 
     return send
 
@@ -120,7 +120,7 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(np.append(starts, len(key)))
         found = order[np.repeat((sender[starts] != sender[starts + sizes - 1]) & np.logical_or.reduceat(fixed, starts), sizes)]
         hit = [senders[found], numbers[found]]
-    yield from P.answer_rows(answers, *hit)
+    yield from P.answer_rows(answers, P.FOUND, *hit)
 
 
 def _compare(block: int, window: int, parts: int):
@@ -149,7 +149,7 @@ def _compare(block: int, window: int, parts: int):
             first = rank == np.repeat(rank[starts], np.diff(np.append(starts, len(key))))
             sent = order[first]
             columns = [key[first], (check[first] >> _HIGH).astype(np.uint32), docs.ids[doc[sent]]]
-            yield P.parcels(docs, ((key[first] & _LOW) % U(parts)).astype(np.int32), sent, columns, order[~first], parts)
+            yield P.parcels(docs, ((key[first] & _LOW) % U(parts)).astype(np.int32), sent, columns, (order[~first],), parts)
 
     return send
 
@@ -166,7 +166,7 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = P.groups(key, check)
         found = order[doc != np.repeat(doc[starts], np.diff(np.append(starts, len(key))))]
         late = [senders[found], numbers[found]]
-    yield from P.answer_rows(answers, *late)
+    yield from P.answer_rows(answers, P.FOUND, *late)
 
 
 def _cut(window: int):
