@@ -9,7 +9,7 @@ from caudal.catalog import Catalog, table
 from caudal.operators import classify as C
 from caudal.operators import features as X
 from caudal.operators import stats as S
-from caudal.session import materialise, spread
+from caudal.session import materialise
 
 catalog = Catalog()
 
@@ -18,7 +18,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The flat tables: source and language stand for signers and commissions."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return {
-        "laws": spread(documents).select(
+        "laws": documents.select(
             F.col("doc_id").alias("id"), F.lit(None).cast("string").alias("date"),
             F.col("source").alias("summary"), F.col("text").alias("law_text"),
         ),

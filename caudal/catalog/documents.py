@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from caudal.catalog import Catalog, table
 from caudal.operators import documents as P
-from caudal.session import spread
 from caudal.sources.readers import parse_projects
 
 catalog = Catalog()
@@ -49,7 +48,7 @@ def _projects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_tax") > 0, F.array("l_linestatus")).otherwise(none).alias("scommissions"),
         F.when(F.col("l_returnflag") != "R", F.array(result)).alias("results"),
     )
-    return parse_projects(spread(table(spark, sf_dir, "lineitem")).select(F.to_json(record).alias("value")))
+    return parse_projects(table(spark, sf_dir, "lineitem").select(F.to_json(record).alias("value")))
 
 
 signers_type = "array<struct<congressman:string,district:string,party:string>>"
@@ -153,7 +152,7 @@ def _project_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(odd, result).otherwise(""),
         F.lit('</div></div><div id="proyectosPie">pie</div></body></html>'),
     )
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")).select(html.alias("html"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars").select(html.alias("html"))
 
 
 def _flat(records: DataFrame) -> DataFrame:
@@ -192,7 +191,7 @@ catalog.add(
 
 catalog.add(
     "page_records",
-    lambda spark, sf: P.page_records(spread(table(spark, sf, "pages")), "html", "page_id"),
+    lambda spark, sf: P.page_records(table(spark, sf, "pages"), "html", "page_id"),
     r"""WITH shown AS (
       SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
                '(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>', '', 'g') AS h FROM pages),
@@ -203,7 +202,7 @@ catalog.add(
     SELECT page_id, links,
            """
     + ",\n           ".join(
-        rf"trim(regexp_replace(replace(replace(replace(replace(replace({c}, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'),"
+        rf"trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace({c}, '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'),"
         rf""" '&quot;', '"'), '&amp;', '&'), '[\s\x{{a0}}]+', ' ', 'g')) AS {c}"""
         for c in ("title", "heading", "body")
     )

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from caudal.catalog import Catalog, table
 from caudal.operators import features as X
-from caudal.session import spread
 
 catalog = Catalog()
 
@@ -31,7 +30,7 @@ def _spanish_sql() -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 _TERMS_SQL = rf"""

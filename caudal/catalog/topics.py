@@ -9,7 +9,7 @@ from caudal.catalog import Catalog, table
 from caudal.catalog.features import documents
 from caudal.operators import features as X
 from caudal.operators import topics as T
-from caudal.session import materialise, spread
+from caudal.session import materialise
 
 catalog = Catalog()
 
@@ -18,7 +18,7 @@ def _doc_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = F.transform("embedding", lambda x: F.abs(x.cast("double")))
     # an array of one value binds the sum, which would else be taken anew for every place
     shares = "transform(array(aggregate(sizes, 0D, (a, x) -> a + x)), whole -> transform(sizes, x -> x / whole))[0]"
-    sized = spread(table(spark, sf_dir, "embeddings")).select("vec_id", "label", sizes.alias("sizes"))
+    sized = table(spark, sf_dir, "embeddings").select("vec_id", "label", sizes.alias("sizes"))
     return sized.select(F.col("vec_id").alias("id"), F.expr(shares).alias("topicDistribution"), "label")
 
 

@@ -35,9 +35,9 @@ def _sessions_sql(minutes: int) -> str:
       FROM flagged),
     sessions AS (
       SELECT user_id AS userid, min(ts) AS "start", max(ts) AS "end",
-             count(*) FILTER (event_type = 'view')::INTEGER AS renders,
-             count(*) FILTER (event_type = 'click')::INTEGER AS plays,
-             count(*) FILTER (event_type = 'purchase')::INTEGER AS checkouts,
+             count(*) FILTER (event_type = 'view') AS renders,
+             count(*) FILTER (event_type = 'click') AS plays,
+             count(*) FILTER (event_type = 'purchase') AS checkouts,
              sum(value) AS amount
       FROM numbered GROUP BY user_id, session)"""
 

@@ -6,10 +6,15 @@ backtracking nor deep recursion.
 
 from __future__ import annotations
 
+import json
+from functools import lru_cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named entities and their characters.
+# The named entities most seen, and their characters. All others are in the standard library's
+# table of the HTML standard.
 ENTITIES = {
     "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
     "aacute": "á", "eacute": "é", "iacute": "í", "oacute": "ó", "uacute": "ú", "ntilde": "ñ", "uuml": "ü",
@@ -21,6 +26,14 @@ ENTITIES = {
 SPACE = r"[\s\x1C-\x1F]"
 
 
+@lru_cache(maxsize=1)
+def _other_entities() -> str:
+    """SQL for a map of the remaining named entities."""
+    others = {name[:-1]: char for name, char in html5.items() if name.endswith(";") and name[:-1] not in ENTITIES}
+    text = json.dumps(others).replace("'", r"\u0027")
+    return f"from_json(r'{text}', 'map<string,string>')"
+
+
 def decode(text: str) -> str:
     """SQL for a text with its entities replaced by their characters; unknown ones stay as they are.
 
@@ -29,13 +42,13 @@ def decode(text: str) -> str:
     """
     names, chars = ",".join(ENTITIES), ",".join(ENTITIES.values()).replace("'", r"\'")
     known = f"map_from_arrays(split('{names}', ','), split('{chars}', ','))"
-    code = """CASE WHEN name RLIKE '^#[0-9]{1,7}$' THEN int(substring(name, 2))
-                   WHEN name RLIKE '^#[xX][0-9A-Fa-f]{1,6}$' THEN int(conv(substring(name, 3), 16, 10)) END"""
+    code = """CASE WHEN name RLIKE '^#0*+[0-9]{1,7}$' THEN try_cast(ltrim('0', substring(name, 2)) AS int)
+                   WHEN name RLIKE '^#[xX]0*+[0-9A-Fa-f]{1,6}$' THEN int(conv(ltrim('0', substring(name, 3)), 16, 10)) END"""
     numbered = f"""transform(array({code}), code ->
                      CASE WHEN code BETWEEN 1 AND 55295 OR code BETWEEN 57344 AND 1114111
                           THEN decode(unhex(lpad(hex(code), 8, '0')), 'UTF-32') END)[0]"""
     piece = f"""transform(array(CASE WHEN contains(piece, ';') THEN substring_index(piece, ';', 1) END), name ->
-                  coalesce(coalesce(try_element_at({known}, name), {numbered}) || substring(piece, length(name) + 2),
+                  coalesce(coalesce(try_element_at({known}, name), {numbered}, try_element_at({_other_entities()}, name)) || substring(piece, length(name) + 2),
                            '&' || piece))[0]"""
     return f"""transform(array({text}), whole ->
                  CASE WHEN contains(whole, '&')

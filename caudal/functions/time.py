@@ -8,21 +8,23 @@ from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
 
 def instant(df: DataFrame, name: str) -> Column:
-    """The column as a timestamp; text is read as a wall-clock time without zone."""
+    """The column as a timestamp; text is read as a wall-clock time without zone, null if it can't be read."""
     if isinstance(df.schema[name].dataType, StringType):
-        return F.col(name).cast(TimestampNTZType())
+        return F.col(name).try_cast(TimestampNTZType())
     return F.col(name)
 
 
 def epoch_minute(df: DataFrame, name: str) -> Column:
-    """Whole minutes since 1970-01-01 00:00, seconds cut off."""
+    """Whole minutes since 1970-01-01 00:00, rounded down."""
     if isinstance(df.schema[name].dataType, TimestampType):
         return F.floor(F.unix_seconds(F.col(name)) / 60)
     since = instant(df, name) - F.lit("1970-01-01 00:00:00").cast(TimestampNTZType())
+    # the parts of an interval before 1970 are negative and cut toward zero
     return (
         F.extract(F.lit("DAY"), since).cast("long") * 1440
         + F.extract(F.lit("HOUR"), since) * 60
         + F.extract(F.lit("MINUTE"), since)
+        + F.floor(F.extract(F.lit("SECOND"), since) / 60).cast("long")
     )
 
 

@@ -21,9 +21,12 @@ def normalise(projects: DataFrame) -> dict[str, DataFrame]:
 
 
 def _section(page: Column, element_id: str) -> Column:
-    """Markup from the element with this id up to the next element with an id of the page's own sections."""
+    """Markup from the element with this id up to the next element with an id of the page's own sections.
+
+    A page without the element has an empty section.
+    """
     opening = rf"""(?i)\bid\s*+=\s*+["']?{element_id}["']?[^>]*+>"""
-    rest = F.element_at(F.split(page, opening, 2), 2)
+    rest = F.coalesce(F.try_element_at(F.split(page, opening, 2), F.lit(2)), F.lit(""))
     return F.element_at(F.split(rest, r"""(?i)<\w++[^>]*?\bid\s*+=\s*+["']?proyectos""", 2), 1)
 
 

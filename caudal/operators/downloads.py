@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def downloads_by_day(log: DataFrame, date: str = "date") -> DataFrame:
-    """Downloads per calendar day."""
-    return log.groupBy(F.to_date(F.col(date)).alias("day")).agg(F.count(F.lit(1)).alias("downloads"))
+    """Downloads per calendar day; those without a readable date, such as a header line, add up under a null day."""
+    return log.groupBy(F.col(date).try_cast("date").alias("day")).agg(F.count(F.lit(1)).alias("downloads"))
 
 
 def downloads_by_month(daily: DataFrame) -> DataFrame:

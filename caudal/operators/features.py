@@ -64,12 +64,14 @@ def tokenizer(text: str, out: str, language: str = "spanish") -> list:
 
 
 def term_vectors(
-    documents: DataFrame, text: str = "text", language: str = "spanish", min_df: int = 5, vocabulary: int = 1 << 18
+    documents: DataFrame, text: str = "text", language: str = "spanish", min_df: int = 5, vocabulary: int | None = None
 ) -> tuple[DataFrame, CountVectorizerModel]:
-    """(id, termFrequency) vectors over the most frequent terms, and the model that holds the vocabulary.
+    """(id, termFrequency) vectors over all terms of at least ``min_df`` documents, and the model with the vocabulary.
 
-    The vocabulary goes through the driver; its size is bounded by ``vocabulary``.
+    The terms are counted first, so that none is lost to the library's own limit. The vocabulary goes
+    through the driver; whoever can't have that names a number of most frequent terms in ``vocabulary``.
     """
+    vocabulary = vocabulary or max(1, _counts(documents, text, language, min_df)[1].count())
     tokens = Pipeline(stages=tokenizer(text, "tokens", language)).fit(documents).transform(documents)
     counter = CountVectorizer(inputCol="tokens", outputCol="termFrequency", minDF=min_df, vocabSize=vocabulary)
     model = counter.fit(tokens.select("tokens"))
@@ -122,7 +124,9 @@ def category_vectors(rows: DataFrame, column: str, vector: str, count: str | Non
         F.size("values").alias(count or f"{column}Count"),
         F.filter(F.transform("values", _category), lambda c: c != "").alias("categories"),
     )
-    counter = CountVectorizer(inputCol="categories", outputCol=vector)
+    # as many entries as there are categories, as the library's own limit would drop the rarest
+    size = max(1, sized.select(F.explode("categories").alias("c")).agg(F.count_distinct("c")).first()[0])
+    counter = CountVectorizer(inputCol="categories", outputCol=vector, vocabSize=size)
     return counter.fit(sized.select("categories")).transform(sized).drop("categories")
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caudal.operators.blocks import block_pairs, item_pairs
+
 
 def sum_by_key(*collections: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
     """Total of each key over the union of the collections."""
@@ -30,27 +32,23 @@ def cogroup_sum(*collections: DataFrame, key: str = "key", value: str = "value")
     )
 
 
-def enrich_triples(properties: DataFrame, types: DataFrame) -> DataFrame:
+def enrich_triples(properties: DataFrame, types: DataFrame, *, repeat: bool = True) -> DataFrame:
     """Each property with the list of its subject's types: (subject, types, relation, object).
 
     ``types`` are triples whose object is the type; a type that is stated twice stands in
     the list twice, and the list is sorted. Types are counted before they are gathered, so
-    a subject's group holds its distinct types only. A subject without a type has an empty
-    list.
+    a subject's group holds its distinct types only, and they meet the properties as pairs
+    of type and number. Without ``repeat`` they stay so: ``types`` is then a list of
+    (type, n). A subject without a type has an empty list.
     """
-    counted = types.groupBy("subject", F.col("object").alias("type")).agg(F.count(F.lit(1)).cast("int").alias("n"))
-    stated = F.flatten(F.transform("counts", lambda t: F.array_repeat(t["type"], t["n"])))
-    listed = (
-        counted.groupBy("subject")
-        .agg(F.array_sort(F.collect_list(F.struct("type", "n"))).alias("counts"))
-        .select("subject", stated.alias("types"))
-    )
-    return properties.join(listed, "subject", "left").select(
-        "subject",
-        F.coalesce("types", F.array().cast("array<string>")).alias("types"),
-        "relation",
-        "object",
-    )
+    counted = types.groupBy("subject", F.col("object").alias("type")).agg(F.count(F.lit(1)).alias("n"))
+    listed = counted.groupBy("subject").agg(F.array_sort(F.collect_list(F.struct("type", "n"))).alias("types"))
+    none = F.array().cast("array<struct<type:string,n:bigint>>")
+    joined = properties.join(listed, "subject", "left").withColumn("types", F.coalesce("types", none))
+    if repeat:
+        stated = F.flatten(F.transform("types", lambda t: F.array_repeat(t["type"], t["n"].cast("int"))))
+        joined = joined.withColumn("types", stated)
+    return joined.select("subject", "types", "relation", "object")
 
 
 def friendships(adjacency: DataFrame) -> DataFrame:
@@ -68,7 +66,8 @@ def friends_in_common(edges: DataFrame) -> DataFrame:
     triangles are found once and each is told to its three pairs. To find them, every
     edge points from its end with fewer friends to the end with more; then nobody points
     to more than sqrt(2 * edges) others, and a person with very many friends is looked up
-    by them rather than sending the whole list to each.
+    by them rather than sending the whole list to each. The list a person points to is cut
+    into blocks, and the pairs of two blocks are made where the two meet.
     """
     ends = edges.select(F.explode(F.array("a", "b")).alias("person"))
     degrees = ends.groupBy("person").agg(F.count(F.lit(1)).alias("degree"))
@@ -85,11 +84,8 @@ def friends_in_common(edges: DataFrame) -> DataFrame:
         .select(rank("a_degree", "a").alias("x"), rank("b_degree", "b").alias("y"))
     )
     pointed = ranked.select(F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"))
-    from_low = pointed.select(F.col("low.person").alias("u"), F.col("high").alias("v"))
-    corner = from_low.alias("p").join(from_low.alias("q"), F.col("p.u") == F.col("q.u")).where(
-        F.col("p.v") < F.col("q.v")
-    )
-    corner = corner.select(F.col("p.u").alias("u"), F.col("p.v.person").alias("v"), F.col("q.v.person").alias("w"))
+    lists = pointed.groupBy(F.col("low.person").alias("u")).agg(F.array_sort(F.collect_list("high")).alias("items"))
+    corner = item_pairs(block_pairs(lists, "u")).select("u", F.col("a.person").alias("v"), F.col("b.person").alias("w"))
     closing = pointed.select(F.col("low.person").alias("v"), F.col("high.person").alias("w"))
     triangles = corner.join(closing, ["v", "w"])
 

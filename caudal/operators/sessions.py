@@ -75,9 +75,9 @@ def sessionize(
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),
-            F.sum("renders").cast("int").alias("renders"),
-            F.sum("plays").cast("int").alias("plays"),
-            F.sum("checkouts").cast("int").alias("checkouts"),
+            F.sum("renders").alias("renders"),
+            F.sum("plays").alias("plays"),
+            F.sum("checkouts").alias("checkouts"),
             F.sum("amount").alias("amount"),
         )
         .drop("session")
@@ -200,8 +200,7 @@ def conversion_rate(
 ) -> DataFrame:
     """Funnel user-days, all user-days and their ratio, in one row."""
     visitors = hits.select(F.col(user).alias("userid"), day_text(instant(hits, timestamp)).alias("day")).distinct()
-    done = funnel(hits, steps, user=user, timestamp=timestamp, **options).withColumn("done", F.lit(1))
-    counted = visitors.join(done, ["userid", "day"], "left").agg(
-        F.count("done").alias("conversions"), F.count(F.lit(1)).alias("visitors")
-    )
+    done = funnel(hits, steps, user=user, timestamp=timestamp, **options)
+    conversions = done.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counted = visitors.agg(F.count(F.lit(1)).alias("visitors")).select(conversions.alias("conversions"), "visitors")
     return counted.withColumn("rate", F.try_divide(F.col("conversions").cast("double"), F.col("visitors")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal.functions.text import WIKI_LINK, lines, token_count, trim_blanks, words
+from caudal.operators.blocks import block_pairs, item_pairs
 
 
 def to_lines(texts: DataFrame, column: str = "text", *keep: str) -> DataFrame:
@@ -61,21 +62,14 @@ def top_words(df: DataFrame, k: int = 10, longer_than: int = 3, column: str = "v
     return counted.orderBy(F.desc("n"), "word").limit(k)
 
 
-def _tallies(block: Column) -> Column:
-    """Distinct words of a sorted block, each with how often it stands there."""
-    backwards = F.reverse(block)
+def _tallies(words: str) -> Column:
+    """Distinct words of a sorted array, each with how often it stands there."""
+    return F.expr(f"""transform(array({words}), w -> transform(array(filter(sequence(0, size(w)),
+        i -> i = 0 OR i = size(w) OR w[i] <> w[i - 1])), cuts ->
+        zip_with(slice(cuts, 1, size(cuts) - 1), slice(cuts, 2, size(cuts)), (i, j) -> struct(w[i] AS word, bigint(j - i) AS n)))[0])[0]""")
 
-    def tally(word: Column) -> Column:
-        first = F.array_position(block, word)
-        last = F.size(block) + 1 - F.array_position(backwards, word)
-        return F.struct(word.alias("word"), (last - first + 1).cast("long").alias("n"))
 
-    return F.transform(F.array_distinct(block), tally)
-
-
-def word_pairs(
-    df: DataFrame, column: str = "value", *, include_self: bool = True, block: int = 64, partitions: int | None = None
-) -> DataFrame:
+def word_pairs(df: DataFrame, column: str = "value", *, include_self: bool = True, block: int = 64) -> DataFrame:
     """How often two words stand in the same line: (word_a, word_b, n) with word_a <= word_b.
 
     Every two places of a line count once. ``include_self`` also counts each place with
@@ -83,58 +77,18 @@ def word_pairs(
     itself instead of c * (c - 1) / 2.
 
     The result is as large as the pairs are many, so the work is laid out around them.
-    Lines of the same words are counted first and paired once. The sorted words of a line
-    are cut into blocks, and a row is two blocks (or one with itself): a line of any
-    length becomes many rows of bounded work, spread evenly over all tasks. Within a row
-    equal words are counted first, and the pairs of a task are summed before they are
-    shuffled.
+    Words of a line are counted first. A line of more than ``block`` different words is cut
+    into blocks that are dealt out and meet in pairs, so a line of any length becomes many
+    rows of bounded work. The pairs of a task are summed before they are shuffled.
     """
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_words = df.select(F.array_sort(words(F.col(column))).alias("words")).where(F.size("words") > 0)
-    copies = sorted_words.groupBy("words").agg(F.count(F.lit(1)).alias("times"))
-    blocks = copies.select(
-        "times",
-        F.transform(
-            F.sequence(F.lit(0), F.floor((F.size("words") - 1) / block).cast("int")),
-            lambda i: F.slice(F.col("words"), i * block + 1, F.lit(block)),
-        ).alias("blocks")
-    )
-    block_pairs = (
-        blocks.select("times", "blocks", F.posexplode("blocks").alias("i", "left"))
-        .select(
-            "times", "left", F.posexplode(F.slice("blocks", F.col("i") + 1, F.size("blocks"))).alias("distance", "right")
-        )
-        .select(
-            "times",
-            "left",
-            (F.col("distance") == 0).alias("same"),
-            F.when(F.col("distance") > 0, F.col("right")).otherwise(F.array().cast("array<string>")).alias("right"),
-        )
-        .repartition(partitions)
-    )
-    tallied = block_pairs.select(
-        "times", "same", _tallies(F.col("left")).alias("left"), _tallies(F.col("right")).alias("right")
-    )
-    firsts = tallied.select("times", "same", "left", "right", F.posexplode("left").alias("at", "a"))
-    seconds = firsts.select(
-        "times",
-        "same",
-        "a",
-        F.posexplode(
-            F.when(F.col("same"), F.slice("left", F.col("at") + 1, F.size("left"))).otherwise(F.col("right"))
-        ).alias("place", "b"),
-    )
-    a, b = F.col("a.n"), F.col("b.n")
-    own = F.shiftright(a * (a + 1), 1) if include_self else F.shiftright(a * (a - 1), 1)
-    counted = seconds.select(
-        F.col("a.word").alias("word_a"),
-        F.col("b.word").alias("word_b"),
-        (F.when(F.col("same") & (F.col("place") == 0), own).otherwise(a * b) * F.col("times")).alias("n"),
+    lists = sorted_words.select(F.monotonically_increasing_id().alias("line"), _tallies("words").alias("items"))
+    apart = item_pairs(block_pairs(lists, "line", block)).select(
+        F.col("a.word").alias("word_a"), F.col("b.word").alias("word_b"), (F.col("a.n") * F.col("b.n")).alias("n")
     )
-    if not include_self:
-        counted = counted.where(F.col("n") > 0)
-    return counted.groupBy("word_a", "word_b").agg(F.sum("n").alias("n"))
+    own = F.shiftright(F.col("i.n") * (F.col("i.n") + (1 if include_self else -1)), 1)
+    alike = lists.select(F.explode("items").alias("i")).select(F.col("i.word").alias("word_a"), F.col("i.word").alias("word_b"), own.alias("n"))
+    return apart.unionByName(alike.where("n > 0")).groupBy("word_a", "word_b").agg(F.sum("n").alias("n"))
 
 
 def find_links(df: DataFrame, column: str = "value", pattern: str = WIKI_LINK, *keep: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -25,19 +23,9 @@ def local_session(cpus: int | str = "*", app: str = "caudal", **conf: str) -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local master gets a temporary folder when the setting is missing; a
-    cluster must name one, because a machine-local folder is lost with its machine.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="caudal-checkpoint-"))
-    return context.getCheckpointDir()
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one beside the warehouse's tables."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stage"
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -47,12 +35,3 @@ def materialise(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input that lies in few pieces over all cores before work that is heavy per row.
-
-    A table of any size is read in more pieces than there are cores and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

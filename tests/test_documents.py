@@ -143,3 +143,21 @@ def test_entities(spark, text, want):
 def test_any_page(spark):
     html = '<title> A &amp; B </title><script>"<h1>no</h1>"</script><h1>H</h1><p>x<a href="u">l</a>\n y</p><!-- <a href="v"> -->'
     assert rows(page_records(pages(spark, html))) == [(1, "A & B", "H", "A & B H x l y")]
+
+
+@pytest.mark.parametrize("missing", ["proyectosTexto", "proyectosFirmantes", "proyectosTramite"])
+def test_page_without_a_section_has_empty_parts(spark, missing):
+    page = """<div class="container tabGral"><h3>PROYECTO DE LEY</h3>1-D-2015<br>Resumen<br>01/02/2015<div></div>
+    <div id="proyectosTexto"><div>Art. 1.- Uno</div><p></p></div>
+    <div id="proyectosFirmantes"><table><tr><td>A</td><td>B</td><td>C</td></tr></table></div>
+    <div id="proyectosTramite"><div> Giro a comisiones en Senado </div><table><tr><td>S</td></tr></table></div></div>"""
+    rows = project_records(spark.createDataFrame([(page.replace(missing, "otra"),)], "html string")).collect()
+    assert len(rows) <= 1
+    for row in rows:
+        assert row["law_text"] is not None and row["signers"] is not None and row["results"] is not None
+
+
+def test_entities_of_the_whole_standard_and_long_numbers(spark):
+    texts = ["&hellip;&euml;&mdash;", "&#00000233;&#x000000E9;", "&#0;&nosuch;&amp;", "&fjlig;"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in frame.selectExpr(M.decode("t")).collect()] == ["…ë—", "éé", "&#0;&nosuch;&", "fj"]

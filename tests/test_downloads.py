@@ -47,3 +47,8 @@ def test_prefix_header(spark, tmp_path):
 def test_places_off_the_globe_do_not_count(spark):
     log = spark.createDataFrame([("91,0",), ("0,181",), ("a,b",), ("1,2,3",), (None,), ("-90,180",)], "coords string")
     assert rows(D.downloads_by_place(log)) == [(-90.0, 180.0, 1)]
+
+
+def test_unreadable_dates_add_up_under_null(spark):
+    log = spark.createDataFrame([("date",), ("",), ("2015-09-01 10:00:00",), ("2015-09-01",), (None,)], "date string")
+    assert {(str(r["day"]), r["downloads"]) for r in D.downloads_by_day(log).collect()} == {("None", 3), ("2015-09-01", 2)}

@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 
 from caudal.functions.text import stop_words
+from caudal.functions.time import epoch_minute
 from caudal.operators import text as T
 from caudal.sources.readers import read_lines
 from caudal.sources.writers import preview
@@ -102,3 +103,19 @@ def test_filters_reach_the_scan_and_only_needed_columns_are_read(spark):
     plan = T.word_count(lines)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<text:string>" in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_minutes_before_1970_are_rounded_down(spark):
+    times = spark.createDataFrame([("1969-12-31 23:59:30",), ("1970-01-01 00:00:30",), ("no time",)], "t string")
+    assert [r[0] for r in times.select(epoch_minute(times, "t")).collect()] == [-1, 0, None]
+
+
+def test_pairs_of_a_long_line_are_those_of_a_loop(spark):
+    rng = random.Random(4)
+    lines = [" ".join(f"w{rng.randint(0, 90)}" for _ in range(n)) for n in (1, 3, 40, 300)] * 2
+    want = Counter()
+    for line in lines:
+        words = sorted(line.split())
+        want.update((words[i], words[j]) for i in range(len(words)) for j in range(i, len(words)))
+    got = {(r["word_a"], r["word_b"]): r["n"] for r in T.word_pairs(frame(spark, *lines), block=16).collect()}
+    assert got == dict(want)
