@@ -40,5 +40,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")
+    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_caudal_keep")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_caudal_keep"]), "left_semi")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from caudal.llm import arrays as A
 from caudal.llm import parcels as P
 from caudal.llm.arrays import U
-from caudal.llm.regions import Entries, join_regions, meet, node_bytes
+from caudal.llm.regions import Entries, join_regions, meet, node_bytes, sketch
 from caudal.llm.stage import Stage
 
 #: Characters of a shingle, and the similarity from which on lines are alike. With seven characters, lines that
@@ -140,7 +140,10 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines = text.split("\n")
             nodes += [x["node"] for x in asked]
             shapes += [lines[x["line"]] for x in asked]
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(shapes, pa.string())], ["node", "shape"])
+        sketches = [sketch(one_line(shape, SHINGLE)) for shape in shapes]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.binary()), pa.array(shapes, pa.string()), pa.array(sketches, pa.binary())], ["node", "shape", "sketch"]
+        )
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +171,7 @@ def repeated_lines(rows: DataFrame, stage: Stage) -> DataFrame:
     source = found.join(asked, "node").groupBy("node").agg(F.min(F.struct("id", "digest", "line")).alias("s"))
     source = source.groupBy("s.id", "s.digest").agg(F.collect_list(F.struct("node", "s.line")).alias("asked"))
     held = rows.join(source.withColumnRenamed("id", "_id").withColumnRenamed("digest", "_digest"), F.expr("id <=> _id AND digest = _digest"))
-    shapes = stage.put(held.select("text", "asked").mapInArrow(_pick, "node binary, shape string").dropDuplicates(["node"]), "shapes")
+    shapes = stage.put(held.select("text", "asked").mapInArrow(_pick, "node binary, shape string, sketch binary").dropDuplicates(["node"]), "shapes")
     linked = stage.put(join_regions(regions, shapes, partial(one_line, k=SHINGLE), PERCENT, stage), "linked")
     named = found.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # rows that repeat a document hold each of its lines as often; only the place tells lines apart
@@ -197,14 +200,13 @@ def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents with all their columns, less the repeated lines; ``length_col``, if there is one, is the new length."""
     stage = Stage(docs.sparkSession)
-    keyed = docs.withColumn("_row", F.xxhash64(text_col))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("digest", F.xxhash64("text"))
-    gone = repeated_lines(rows, stage).withColumnRenamed("id", "_id").withColumnRenamed("digest", "_digest")
-    lines = F.split(text_col, "\n", -1)
-    kept = F.filter(lines, lambda _, n: ~F.array_contains("gone", n))
-    text = F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    joined = keyed.join(gone, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_digest")), "left")
-    out = joined.withColumn(text_col, text)
+    gone = repeated_lines(rows, stage).select(*[F.col(c).alias(f"_caudal_{c}") for c in ("id", "digest", "gone")])
+    lost = F.col("_caudal_gone")
+    kept = F.filter(F.split(text_col, "\n", -1), lambda _, n: ~F.array_contains(lost, n))
+    text = F.when(lost.isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    same = docs[id_col].eqNullSafe(F.col("_caudal_id")) & (F.xxhash64(docs[text_col]) == F.col("_caudal_digest"))
+    out = docs.join(gone, same, "left").withColumn(text_col, text)
     if length_col in docs.columns:
         out = out.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
     return out.select(*docs.columns)

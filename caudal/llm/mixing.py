@@ -97,6 +97,6 @@ def mix(
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """The documents with all their columns, sorted into the mix; rows of one id stay together."""
-    places = mix(docs, id_col=id_col, **how).groupBy(F.col(id_col).alias("_id")).agg(F.min("place").alias("_place"))
-    joined = docs.join(places, docs[id_col].eqNullSafe(places["_id"]))
-    return joined.repartitionByRange("_place").sortWithinPartitions("_place").select(*docs.columns)
+    places = mix(docs, id_col=id_col, **how).groupBy(F.col(id_col).alias("_caudal_id")).agg(F.min("place").alias("_caudal_place"))
+    joined = docs.join(places, docs[id_col].eqNullSafe(places["_caudal_id"]))
+    return joined.repartitionByRange("_caudal_place").sortWithinPartitions("_caudal_place").select(*docs.columns)

@@ -184,5 +184,5 @@ def judge_quality(
 
 def keep_quality(docs: DataFrame, id_col: str = "doc_id", **columns: str) -> DataFrame:
     """The documents that are kept, with all their columns. A null id is matched as a value."""
-    kept = judge_quality(docs, id_col, **columns).where("kept").select(F.col(id_col).alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")
+    kept = judge_quality(docs, id_col, **columns).where("kept").select(F.col(id_col).alias("_caudal_kept")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_caudal_kept"]), "left_semi")

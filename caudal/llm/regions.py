@@ -8,8 +8,8 @@ By the triangle inequality what x and y differ in from the pivot, dx and dy, mus
 at least (|dx| + |dy| - |xy|) / 2 shingles in common, |xy| being the most that similar sets differ in. So each
 node goes on to the regions of the first shingles of its difference, as many as make sure that two such nodes
 meet, those that the pivot doesn't have first. A cell's nodes near the pivot go to few regions or none. The new
-regions are joined in the same way, until all nodes of each are in one component. A region of a few nodes is
-joined at once within one task.
+regions are joined in the same way, until all nodes of each are in one component. In a region of a few nodes
+the pairs are taken whose sketches, counts of shingles by class, don't differ too much to be similar.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from caudal.llm.stage import Stage
 
 #: Entries that a task holds before it sends them.
 FLUSH = 1 << 20
-#: A region of at most so many nodes is joined within one task; larger ones are divided by a pivot.
+#: A region of at most so many nodes is joined by pairs; larger ones are divided by a pivot.
 SMALL = 32
 _HIGH = U(32)
 
@@ -162,16 +162,35 @@ def _measure(pairs: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.n
                     ["node", "pivot", "linked", "firsts"],
                 )
 
-    both = pairs.join(shapes, "node").join(shapes.select(F.col("node").alias("pivot"), F.col("shape").alias("pivot_shape")), "pivot")
+    both = pairs.join(shapes.select("node", "shape"), "node").join(shapes.select(F.col("node").alias("pivot"), F.col("shape").alias("pivot_shape")), "pivot")
     return both.mapInArrow(measure, "node binary, pivot binary, linked boolean, firsts array<long>")
 
 
-def _join_small(regions: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.ndarray], percent: int) -> DataFrame:
-    """node, pivot of links that connect what is connected inside each small region."""
+def sketch(values: np.ndarray) -> bytes:
+    """How many of a set's shingles fall into each of some classes, about four to a class.
 
-    def join(table: pa.Table) -> pa.Table:
+    What two sets' counts differ in, summed over the classes, is never more than what the sets differ in.
+    """
+    classes = max(8, 1 << max(0, (len(values) // 4).bit_length() - 1))
+    return np.bincount((values & U(classes - 1)).astype(np.int64), minlength=classes).astype(np.uint32).tobytes()
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    n, m = int(a.sum()), int(b.sum())
+    while len(a) != len(b):
+        a, b = (a, b.reshape(2, -1).sum(0)) if len(a) < len(b) else (a.reshape(2, -1).sum(0), b)
+    return int(np.abs(a - b).sum()) * (100 + percent) <= (100 - percent) * (n + m)
+
+
+def _small_pairs(regions: DataFrame, sketches: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """node, pivot of the pairs in different components of a small region that their sketches let be similar.
+
+    ``spanning``: only as many as connect what all of them would connect. A region has at most ``SMALL`` nodes.
+    """
+
+    def pairs(table: pa.Table) -> pa.Table:
         nodes = table["node"].to_pylist()
-        sets = [shingles(s) for s in table["shape"].to_pylist()]
+        counts = [np.frombuffer(s, np.uint32).astype(np.int64) for s in table["sketch"].to_pylist()]
         parents = list(range(len(nodes)))
 
         def root(i: int) -> int:
@@ -180,34 +199,26 @@ def _join_small(regions: DataFrame, shapes: DataFrame, shingles: Callable[[str],
                 i = parents[i]
             return i
 
-        # what an earlier round has connected needs no link
-        first = {}
+        first: dict[bytes, int] = {}
         for i, component in enumerate(table["component"].to_pylist()):
             parents[i] = first.setdefault(component, i)
-        links = []
+        found = []
         for i in range(len(nodes)):
             for j in range(i):
-                if root(i) != root(j):
-                    n, m = len(sets[i]), len(sets[j])
-                    if 100 * min(n, m) < percent * max(n, m):
-                        continue
-                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if 100 * common >= percent * (n + m - common):
+                if root(i) != root(j) and _may_link(counts[i], counts[j], percent):
+                    found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
+                    if spanning:
                         parents[root(i)] = root(j)
-                        links.append((nodes[i], nodes[j]))
-        a, b = zip(*links, strict=True) if links else ((), ())
+        a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["node", "pivot"])
 
-    rows = regions.join(shapes, "node").select("region", "node", "component", "shape")
-    return rows.groupBy("region").applyInArrow(join, "node binary, pivot binary")
+    rows = regions.join(sketches, "node").select("region", "node", "component", "sketch")
+    return rows.groupBy("region").applyInArrow(pairs, "node binary, pivot binary").distinct()
 
 
-def _open(regions: DataFrame, components: DataFrame | None, stage: Stage, name: str) -> DataFrame:
+def _open(regions: DataFrame, components: DataFrame, stage: Stage, name: str) -> DataFrame:
     """region, n, node, component, degree of the regions that may still join components; regions of the same nodes once."""
-    if components is None:
-        rows = regions.withColumn("component", F.col("node"))
-    else:
-        rows = regions.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = regions.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
     several = rows.groupBy("region").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), *marks)
     kept = several.where("low <> high").groupBy("n", "mark0", "mark1").agg(F.min("region").alias("region")).select("region", "n")
@@ -221,27 +232,39 @@ def join_regions(
 ) -> DataFrame:
     """node, component: nodes connected by links of at least ``percent`` similarity inside some region.
 
-    ``shapes`` has a node's text, once, and ``shingles`` makes it a sorted array of distinct numbers. Nodes
-    without a link may be left out.
+    ``shapes`` has a node's text and sketch, once, and ``shingles`` makes the text a sorted array of distinct
+    numbers. Nodes without a link may be left out.
     """
-    rows = stage.put(_open(regions, None, stage, "open-0"), "open-0")
-    links = stage.put(_join_small(rows.where(F.col("n") <= SMALL), shapes, shingles, percent), "links-0")
-    components = connected(links, stage, "stars-0")
-    rows, measured, step = rows.where(F.col("n") > SMALL), None, 0
-    while not rows.isEmpty():
+    none = regions.select(F.col("node"), F.col("node").alias("pivot"), F.lit(True).alias("linked"), F.array().cast("array<long>").alias("firsts"))
+    measured, components = none.limit(0), none.limit(0).select("node", F.col("pivot").alias("component"))
+    sketches, step = shapes.select("node", "sketch"), 0
+
+    def link(pairs: DataFrame, name: str) -> None:
+        """Measure the pairs that are not measured yet, and connect those that are similar."""
+        nonlocal measured, components
+        asked = pairs.join(measured.select("node", "pivot"), ["node", "pivot"], "left_anti")
+        new = stage.put(_measure(asked, shapes, shingles, percent), f"measured-{name}")
+        measured = measured.unionByName(new)
+        components = connected(new.where("linked").select("node", "pivot").union(components), stage, f"stars-{name}")
+
+    rows = regions
+    while True:
+        rows = stage.put(_open(rows, components, stage, f"open-{step}"), f"open-{step}", free=not step)
+        if rows.isEmpty():
+            return components
+        # what few pairs may connect first; where they don't, all pairs that are left
+        few = rows.where(F.col("n") <= SMALL)
+        link(stage.put(_small_pairs(few, sketches, percent, True), f"few-{step}"), f"few-{step}")
+        left = _open(few.select("region", "node"), components, stage, f"left-{step}")
+        link(stage.put(_small_pairs(left, sketches, percent, False), f"all-{step}"), f"all-{step}")
+        rows = rows.where(F.col("n") > SMALL)
+        if rows.isEmpty():
+            return components
         top = rows.groupBy("region").agg(F.max(F.struct("degree", "node")).alias("top")).select("region", F.col("top.node").alias("pivot"))
         top = stage.put(top, f"pivots-{step}", free=False)
         met = rows.join(top, "region").where(F.col("node") != F.col("pivot")).select("node", "pivot").distinct()
-        asked = met if measured is None else met.join(measured.select("node", "pivot"), ["node", "pivot"], "left_anti")
-        new = stage.put(_measure(asked, shapes, shingles, percent), f"measured-{step}")
-        measured = new if measured is None else measured.unionByName(new)
-        known = met.join(measured, ["node", "pivot"])
-        further = known.select("node", F.explode("firsts").alias("first"), "pivot").select(F.xxhash64("pivot", "first").alias("region"), "node")
-        further = stage.put(further.distinct(), f"regions-{step}", free=False)
-        stars = connected(new.where("linked").select("node", "pivot").union(components), stage, f"stars-{step}-cells")
+        met = stage.put(met, f"met-{step}", free=False)
+        link(met, f"cells-{step}")
+        firsts = met.join(measured, ["node", "pivot"]).select("node", "pivot", F.explode("firsts").alias("first"))
+        rows = stage.put(firsts.select(F.xxhash64("pivot", "first").alias("region"), "node").distinct(), f"regions-{step}", free=False)
         step += 1
-        rows = stage.put(_open(further, stars, stage, f"open-{step}"), f"open-{step}", free=False)
-        links = stage.put(_join_small(rows.where(F.col("n") <= SMALL), shapes, shingles, percent), f"links-{step}", free=False)
-        components = connected(links.union(stars), stage, f"stars-{step}")
-        rows = rows.where(F.col("n") > SMALL)
-    return components

@@ -10,14 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` as the session names it, else a folder beside the warehouse's tables.
-
-    Both lie where every executor and the driver can reach them.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stage"
+from caudal.session import shared_dir
 
 
 def _file(spark: SparkSession, name: str):
@@ -38,7 +31,7 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(archive, "w") as out:
         for file in sorted(package.rglob("*.py")):
             out.write(file, str(file.relative_to(package.parent)))
-    name = f"{shared_folder(spark)}/caudal-{uuid.uuid4().hex}.zip"
+    name = f"{shared_dir(spark)}/caudal-{uuid.uuid4().hex}.zip"
     path, system = _file(spark, name)
     stream = system.create(path)
     stream.write(bytearray(archive.getvalue()))
@@ -58,7 +51,7 @@ class Stage:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/caudal-{uuid.uuid4().hex}"
+        self.root = f"{shared_dir(spark)}/caudal-{uuid.uuid4().hex}"
         path, system = _file(spark, self.root)
         system.mkdirs(path)
         system.deleteOnExit(path)
