@@ -40,7 +40,7 @@ _SPELT_EMAIL = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\{at\}| at ) ?"
     r"[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot ) ?[A-Za-z0-9-]{1,63}){1,8}"
 )
-_LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20./-][0-9]{3,4}[\x20./-][0-9]{4}(?![0-9.-])")
+_LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20./-][0-9]{3,4}[\x20./-][0-9]{4}(?![0-9]|[.-][0-9])")
 _CUT_CARD = re.compile(r"(?<![0-9.])[0-9]{4}(?:[.\x20-][0-9]{4}){3}(?![0-9])")
 _PORT_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\])[0-9]{1,3}){3}(?![0-9])")
 
