@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
+Sql = str | Callable[[], str]
 
 
 class Catalog:
-    """Named queries and, where SQL can say the same, their SQL."""
+    """Named queries and, where SQL can say the same, their SQL, or a function that makes it when it is asked for."""
 
     def __init__(self) -> None:
         self.queries: dict[str, Query] = {}
-        self.sql: dict[str, str] = {}
+        self.sql: dict[str, Sql] = {}
 
-    def add(self, name: str, query: Query, sql: str | None = None) -> None:
+    def add(self, name: str, query: Query, sql: Sql | None = None) -> None:
         if name in self.queries:
             raise ValueError(f"query {name} is already there")
         self.queries[name] = query

@@ -33,7 +33,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
-_TERMS_SQL = rf"""
+def terms_sql() -> str:
+    """Terms per document (tf), documents per term (df) and the number of documents (m); made on request,
+    as the stop words are read from a file."""
+    return rf"""
     tokens AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS term FROM documents),
     tf AS (SELECT id, term, count(*) AS tf FROM tokens WHERE term NOT IN ({_spanish_sql()}) GROUP BY id, term),
     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 5),
@@ -42,7 +45,7 @@ _TERMS_SQL = rf"""
 catalog.add(
     "term_frequency",
     lambda spark, sf: X.term_frequency(documents(spark, sf)),
-    f"WITH {_TERMS_SQL} SELECT id, term, tf FROM tf JOIN df USING (term)",
+    lambda: f"WITH {terms_sql()} SELECT id, term, tf FROM tf JOIN df USING (term)",
 )
 
 catalog.add(
@@ -50,25 +53,31 @@ catalog.add(
     lambda spark, sf: X.tf_idf(documents(spark, sf))
     .withColumn("idf", F.round("idf", 6))
     .withColumn("tf_idf", F.round("tf_idf", 6)),
-    f"""WITH {_TERMS_SQL}
+    lambda: f"""WITH {terms_sql()}
     SELECT id, term, tf, round(ln((m + 1.0) / (df + 1)), 6) AS idf, round(tf * ln((m + 1.0) / (df + 1)), 6) AS tf_idf
     FROM tf JOIN df USING (term), m""",
 )
 
 
 def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number and sum of the hashed weights of each document."""
+    """The hashed counts of each document add up to its words; as many weights as counts are above zero or have none."""
     rows = documents(spark, sf_dir)
     weights = Pipeline(stages=X.hashed_tf_idf_stages()).fit(rows).transform(rows)
-    values = vector_to_array("tfIdf")
+    counts, values = vector_to_array("hashTokens"), vector_to_array("tfIdf")
     return weights.select(
         "id",
-        F.size(F.filter(values, lambda v: v > 0)).alias("buckets"),
-        F.round(F.aggregate(values, F.lit(0.0), lambda a, v: a + v), 6).alias("weight"),
+        F.aggregate(counts, F.lit(0.0), lambda a, v: a + v).cast("long").alias("tokens"),
+        F.forall(F.arrays_zip(counts.alias("n"), values.alias("w")), lambda x: (x["n"] > 0) | (x["w"] == 0)).alias("sound"),
     )
 
 
-catalog.add("hashed_tfidf", _hashed)
+catalog.add(
+    "hashed_tfidf",
+    _hashed,
+    lambda: f"""WITH {terms_sql()}
+    SELECT doc_id AS id, coalesce(n, 0)::BIGINT AS tokens, true AS sound
+    FROM documents LEFT JOIN (SELECT id, sum(tf) AS n FROM tf GROUP BY id) ON doc_id = id""",
+)
 
 
 def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:

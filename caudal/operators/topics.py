@@ -28,10 +28,11 @@ def lda_topics(
 def name_terms(described: DataFrame, vocabulary: list[str]) -> DataFrame:
     """Topics with words in place of term numbers; numbers outside the vocabulary are skipped.
 
-    The vocabulary is bounded by the size it was fitted with, so it can go to every task.
+    Only the described terms are named, a few per topic, so they can go to every task.
     """
     spark = described.sparkSession
-    words = spark.createDataFrame(list(enumerate(vocabulary)), "termIndex int, term string")
+    asked = {i for row in described.select("termIndices").collect() for i in row[0] if i < len(vocabulary)}
+    words = spark.createDataFrame([(i, vocabulary[i]) for i in sorted(asked)], "termIndex int, term string")
     placed = described.select("topic", "termWeights", F.posexplode("termIndices").alias("pos", "termIndex"))
     named = placed.join(F.broadcast(words), "termIndex")
     return named.groupBy("topic", "termWeights").agg(
