@@ -132,6 +132,34 @@ catalog.add(
     ),
 )
 
+def _add_ranking(column: str, value: str, sql: str) -> None:
+    """The rankings by another column of the people who sign."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        members = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.expr(value).alias(column))
+        return S.project_ranking(S.project_counts(members, _results(spark, sf_dir), column), column)
+
+    ranked = " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{r}' AS ranking, {column}, {r} AS projects FROM counts WHERE {r} > 0 ORDER BY {r} DESC, {column} LIMIT 10)"
+        for r in ("presented", "sanctioned", "half_sanctioned")
+    )
+    catalog.add(
+        f"project_ranking_{column}",
+        query,
+        f"""WITH members AS (SELECT DISTINCT l_orderkey AS id, {sql} AS {column} FROM lineitem),
+        counts AS (
+          SELECT {column}, count(*) AS presented, count(*) FILTER (o_orderstatus = 'F') AS sanctioned,
+                 count(*) FILTER (o_orderstatus = 'O') AS half_sanctioned
+          FROM members LEFT JOIN orders ON id = o_orderkey GROUP BY {column})
+        {ranked}""",
+    )
+
+
+_add_ranking("party", "concat('party ', string(l_suppkey % 13))", "'party ' || l_suppkey % 13")
+_add_ranking("district", "concat('district ', string(l_suppkey % 25))", "'district ' || l_suppkey % 25")
+_add_ranking("commission", "concat(l_returnflag, '-', l_linestatus)", "l_returnflag || '-' || l_linestatus")
+
+
 catalog.add(
     "project_stats",
     lambda spark, sf: S.project_stats(_counts(spark, sf)).select(

@@ -7,6 +7,8 @@ were made for, over every row of the table.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def _projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _projects(spark: SparkSession, sf_dir: str, fields: Iterable[str]) -> DataFrame:
     """Line items as JSON project records, read back with the project schema."""
     none = F.array().cast("array<string>")
 
@@ -48,14 +50,14 @@ def _projects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_tax") > 0, F.array("l_linestatus")).otherwise(none).alias("scommissions"),
         F.when(F.col("l_returnflag") != "R", F.array(result)).alias("results"),
     )
-    return parse_projects(table(spark, sf_dir, "lineitem").select(F.to_json(record).alias("value")))
+    return parse_projects(table(spark, sf_dir, "lineitem").select(F.to_json(record).alias("value")), fields=fields)
 
 
 signers_type = "array<struct<congressman:string,district:string,party:string>>"
 
 
 def _add_normalise(name: str, target: str, sql: str) -> None:
-    catalog.add(f"normalise_{name}", lambda spark, sf: P.normalise(_projects(spark, sf))[target], sql)
+    catalog.add(f"normalise_{name}", lambda spark, sf: P.flat_table(_projects(spark, sf, P.TABLE_FIELDS[target]), target), sql)
 
 
 _ID = "l_orderkey || '-' || l_linenumber AS id"

@@ -45,21 +45,19 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers in credit publish under their number."""
-    return (
-        table(spark, sf_dir, "supplier")
-        .where(F.col("s_acctbal") > 0)
-        .select(F.concat(F.lit("10."), F.col("s_suppkey").cast("string")).alias("prefix"), F.col("s_name").alias("publisher"))
+    """Suppliers in credit publish under their number, the others under one that no article has."""
+    registrant = F.when(F.col("s_acctbal") > 0, "10.").otherwise("11.")
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(registrant, F.col("s_suppkey").cast("string")).alias("prefix"), F.col("s_name").alias("publisher")
     )
 
 
 def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Articles with a title, year, publisher, book and subject; small parts have no entry."""
+    """Articles with a title, year, publisher, book and subject; small parts' entries stand under another name."""
     return (
         table(spark, sf_dir, "part")
-        .where(F.col("p_size") > 5)
         .select(
-            _doi("p_partkey").alias("doi"),
+            F.when(F.col("p_size") > 5, _doi("p_partkey")).otherwise(F.concat(F.lit("old/"), _doi("p_partkey"))).alias("doi"),
             F.col("p_name").alias("title"),
             (F.col("p_size") + 1960).alias("year"),
             F.col("p_brand").alias("publisher"),
@@ -82,7 +80,7 @@ _LOG_SQL = """
       SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, l_shipdate, l_partkey, n_name AS country, n_nationkey, n_regionkey,
              s_acctbal, '10.' || (l_partkey // 20) AS prefix, '10.' || (l_partkey // 20) || '/part/' || l_partkey AS doi
       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
-    prefixes AS (SELECT '10.' || s_suppkey AS prefix, s_name AS publisher FROM supplier WHERE s_acctbal > 0)"""
+    prefixes AS (SELECT CASE WHEN s_acctbal > 0 THEN '10.' ELSE '11.' END || s_suppkey AS prefix, s_name AS publisher FROM supplier)"""
 
 catalog.add(
     "downloads_by_day",

@@ -43,28 +43,23 @@ catalog.add(
 
 
 def _property_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two statements per order about its customer; partly filled orders give a junk line instead."""
+    """Two statements per order about its customer; partly filled orders give a junk line beside them."""
     subject = F.concat(F.lit("<c"), F.col("o_custkey").cast("string"), F.lit("> "))
-    lines = F.when(F.col("o_orderstatus") == "P", F.array(F.lit("# partial"), F.lit(""))).otherwise(
-        F.array(
-            F.concat(subject, F.lit('<status> "'), "o_orderstatus", F.lit('" .')),
-            F.concat(subject, F.lit('<priority>  "'), "o_orderpriority", F.lit('"@en  . ')),
-        )
+    lines = F.array(
+        F.concat(subject, F.lit('<status> "'), "o_orderstatus", F.lit('" .')),
+        F.concat(subject, F.lit('<priority>  "'), "o_orderpriority", F.lit('"@en  . ')),
+        F.when(F.col("o_orderstatus") == "P", F.lit("# partial")).otherwise(""),
     )
     return table(spark, sf_dir, "orders").select(F.explode(lines).alias("value"))
 
 
 def _type_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A customer's segment as a type, said twice when the balance is positive; machinery has none."""
+    """A customer's segment as a type, said twice when the balance is positive; machinery's are said of others."""
     line = F.concat(
-        F.lit("<c"), F.col("c_custkey").cast("string"), F.lit("> <type> <"), F.col("c_mktsegment"), F.lit("> .")
+        F.when(F.col("c_mktsegment") == "MACHINERY", "<m").otherwise("<c"), F.col("c_custkey").cast("string"), F.lit("> <type> <"), F.col("c_mktsegment"), F.lit("> .")
     )
     times = F.when(F.col("c_acctbal") > 0, 2).otherwise(1)
-    return (
-        table(spark, sf_dir, "customer")
-        .where(F.col("c_mktsegment") != "MACHINERY")
-        .select(F.explode(F.array_repeat(line, times)).alias("value"))
-    )
+    return table(spark, sf_dir, "customer").select(F.explode(F.array_repeat(line, times)).alias("value"))
 
 
 catalog.add(
@@ -73,9 +68,9 @@ catalog.add(
         parse_triples(_property_lines(spark, sf)), parse_triples(_type_lines(spark, sf))
     ).withColumn("types", F.array_join("types", " ")),
     """WITH properties AS (
-      SELECT o_custkey, '<status>' AS relation, '"' || o_orderstatus || '"' AS object FROM orders WHERE o_orderstatus <> 'P'
+      SELECT o_custkey, '<status>' AS relation, '"' || o_orderstatus || '"' AS object FROM orders
       UNION ALL
-      SELECT o_custkey, '<priority>', '"' || o_orderpriority || '"@en' FROM orders WHERE o_orderstatus <> 'P'),
+      SELECT o_custkey, '<priority>', '"' || o_orderpriority || '"@en' FROM orders),
     types AS (
       SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN '<' || c_mktsegment || '> <' || c_mktsegment || '>'
                              ELSE '<' || c_mktsegment || '>' END AS types

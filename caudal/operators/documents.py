@@ -9,15 +9,30 @@ from caudal.functions import markup as M
 from caudal.functions.time import iso_day
 
 
+# The fields of a project record that each flat table is made of.
+TABLE_FIELDS = {
+    "laws": ("id", "date", "summary", "law_text"),
+    "signers": ("id", "signers"),
+    "senateCommissions": ("id", "scommissions"),
+    "deputyCommissions": ("id", "dcommissions"),
+    "results": ("id", "results"),
+}
+
+
+def flat_table(projects: DataFrame, name: str) -> DataFrame:
+    """One of the flat tables; rows of empty or missing arrays vanish from the child tables."""
+    if name == "laws":
+        return projects.select(*TABLE_FIELDS[name])
+    if name == "signers":
+        return projects.select("id", F.inline("signers")).select("id", "congressman", "district", "party")
+    if name == "results":
+        return projects.select("id", F.inline("results")).select("id", "chamber", "result", "date")
+    return projects.select("id", F.explode(TABLE_FIELDS[name][1]).alias("commission"))
+
+
 def normalise(projects: DataFrame) -> dict[str, DataFrame]:
-    """Five flat tables by name; rows of empty or missing arrays vanish from the child tables."""
-    return {
-        "laws": projects.select("id", "date", "summary", "law_text"),
-        "signers": projects.select("id", F.inline("signers")).select("id", "congressman", "district", "party"),
-        "senateCommissions": projects.select("id", F.explode("scommissions").alias("commission")),
-        "deputyCommissions": projects.select("id", F.explode("dcommissions").alias("commission")),
-        "results": projects.select("id", F.inline("results")).select("id", "chamber", "result", "date"),
-    }
+    """Five flat tables by name."""
+    return {name: flat_table(projects, name) for name in TABLE_FIELDS}
 
 
 def _section(page: Column, element_id: str) -> Column:

@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 from caudal.operators.documents import normalise, project_records
-from caudal.session import shared_dir
+from caudal.session import remove, shared_dir
 from caudal.sources.readers import read_projects
 from caudal.sources.writers import write_parquet
 
@@ -18,13 +18,17 @@ def _write_tables(projects: DataFrame, out: str) -> None:
     """Five tables from one pass over the source.
 
     The records are written once as nested Parquet in the shared folder; each table then
-    reads the columns it needs from there instead of parsing every record again.
+    reads the columns it needs from there instead of parsing every record again. The nested
+    copy is removed in the end.
     """
     spark = projects.sparkSession
     staged = f"{shared_dir(spark)}/projects-{uuid4()}"
-    write_parquet(projects, staged)
-    for name, table in normalise(spark.read.parquet(staged)).items():
-        write_parquet(table, f"{out}/{name}.parquet")
+    try:
+        write_parquet(projects, staged)
+        for name, table in normalise(spark.read.parquet(staged)).items():
+            write_parquet(table, f"{out}/{name}.parquet")
+    finally:
+        remove(spark, staged)
 
 
 def run_normalise(spark: SparkSession, json: str, out: str) -> None:

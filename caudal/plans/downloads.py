@@ -16,10 +16,12 @@ def download_report(
 ) -> dict[str, DataFrame]:
     """Frequencies by time, publisher, article, country and place.
 
-    The log is read for its daily counts and for its counts per article, which are kept
-    as tables below ``out``; months, weekdays, prefixes and publishers add those up.
+    The text log is read once and written as columns below ``out``; the days, articles,
+    countries and places are counted from there, each from the one column it needs. Months,
+    weekdays, prefixes and publishers add up the counts per day and per article.
     """
-    log = read_downloads(spark, files)
+    write_parquet(read_downloads(spark, files), f"{out}/log.parquet")
+    log = spark.read.parquet(f"{out}/log.parquet")
     write_parquet(D.downloads_by_day(log), f"{out}/by_day.parquet")
     write_parquet(D.downloads_by_doi(log), f"{out}/by_doi.parquet")
     daily, by_doi = spark.read.parquet(f"{out}/by_day.parquet"), spark.read.parquet(f"{out}/by_doi.parquet")

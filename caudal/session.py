@@ -28,6 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stage"
 
 
+def remove(spark: SparkSession, name: str) -> None:
+    """Delete a folder, wherever it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several later jobs read."""
     context = df.sparkSession.sparkContext

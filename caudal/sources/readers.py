@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from caudal.functions.text import trim_blanks
 from caudal.sources.schemas import DOWNLOADS, PREFIXES, PROJECT
@@ -30,13 +31,14 @@ def read_projects(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROJECT).json(path)
 
 
-def parse_projects(df: DataFrame, column: str = "value") -> DataFrame:
-    """The same records from a column that holds one JSON object per row.
+def parse_projects(df: DataFrame, column: str = "value", fields: Iterable[str] | None = None) -> DataFrame:
+    """The same records from a column that holds one JSON object per row; only the named fields are parsed.
 
     Going through an array of one record makes Spark parse each object once; otherwise
     every field and filter downstream would parse it anew.
     """
-    record = F.explode(F.array(F.from_json(F.col(column), PROJECT)))
+    schema = PROJECT if fields is None else StructType([PROJECT[name] for name in fields])
+    record = F.explode(F.array(F.from_json(F.col(column), schema)))
     return df.select(record.alias("record")).select("record.*")
 
 
