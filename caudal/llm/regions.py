@@ -242,10 +242,14 @@ def join_regions(
     def link(pairs: DataFrame, name: str) -> None:
         """Measure the pairs that are not measured yet, and connect those that are similar."""
         nonlocal measured, components
+        if pairs.isEmpty():
+            return
         asked = pairs.join(measured.select("node", "pivot"), ["node", "pivot"], "left_anti")
         new = stage.put(_measure(asked, shapes, shingles, percent), f"measured-{name}")
         measured = measured.unionByName(new)
-        components = connected(new.where("linked").select("node", "pivot").union(components), stage, f"stars-{name}")
+        links = new.where("linked").select("node", "pivot")
+        if not links.isEmpty():
+            components = connected(links.union(components), stage, f"stars-{name}")
 
     rows = regions
     while True:
