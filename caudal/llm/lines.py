@@ -1,8 +1,9 @@
 """Fuzzy line deduplication by MinHash.
 
-Lines are sets of character shingles. Their signatures have one least hash for each of a number of bins, empty
-bins borrowing from the next full one; bands of the signature are the keys under which lines meet. Lines that
-share a band are compared by their exact Jaccard similarity, and one line of each connected component stays.
+Lines are sets of character shingles. The signature of a long line has the least hash of each of a number of
+bins, that of a short one the least of as many hash functions; bands of the signature are the keys under which
+lines meet. Lines that share a band are compared by their exact Jaccard similarity, and one line of each
+connected component stays.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ from caudal.llm.stage import Stage
 SHINGLE, PERCENT = 7, 80
 #: Lines alike in 80 % of their shingles share one of ten bands of four with a probability of 0.995.
 BANDS, ROWS = 10, 4
+#: Lines of at most so many shingles have a hash function for each value of their signature, those of at least
+#: so many have a bin; lines of sizes between have both, so that two lines that are alike have one kind in common.
+SHORT, LONG = 100, 80
 
 
 class Lines(NamedTuple):
@@ -80,25 +84,47 @@ def one_line(text: str, k: int) -> np.ndarray:
     return np.unique(_shingles(_sums(points), np.array([0]), np.array([len(points)]), k)[0])
 
 
-def signatures(values: np.ndarray, line: np.ndarray, n: int, bins: int) -> np.ndarray:
-    """A row of ``bins`` 32-bit values for each of n lines, each of which has a shingle."""
+def hashed_signatures(values: np.ndarray, line: np.ndarray, n: int, size: int) -> np.ndarray:
+    """A row of ``size`` values for each of n lines, in order, each of which has a shingle: the least of as many hashes."""
+    starts = np.searchsorted(line, np.arange(n))
+    factors = np.random.default_rng(7).integers(1, 2**63, size, dtype=np.int64).astype(U) * U(2) + U(1)
+    return np.stack([np.minimum.reduceat((values * f) >> U(32), starts) for f in factors], 1)
+
+
+def binned_signatures(values: np.ndarray, line: np.ndarray, n: int, bins: int) -> np.ndarray:
+    """A row of ``bins`` values for each of n lines: the least hash of each bin, empty bins borrowing from others."""
     empty = np.uint64(1 << 32)
     least = np.full(n * bins, empty)
     np.minimum.at(least, line * bins + ((values >> U(32)) * U(bins) >> U(32)).astype(np.int64), values & U(0xFFFFFFFF))
     least = least.reshape(n, bins)
     rows = np.flatnonzero((least == empty).any(1))
     own, filled = least[rows], least[rows].copy()
-    for step in range(1, bins):
-        missing = filled == empty
-        if not missing.any():
-            break
-        borrowed = np.roll(own, -step, 1)
+    draw = np.random.default_rng(8)
+    while (missing := filled == empty).any():
+        # another place for every bin, drawn anew until it is a full one
+        borrowed = own[:, draw.integers(0, bins, bins)]
         usable = missing & (borrowed != empty)
-        filled[usable] = A.mix(borrowed[usable] + U(step)) >> U(32)
+        filled[usable] = borrowed[usable]
     least[rows] = filled
     return least
 
 
+def band_keys(values: np.ndarray, line: np.ndarray, n: int, bands: int, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of lines, and their key for a band."""
+    counts = np.bincount(line, minlength=n)
+    for kind, (chosen, sign) in enumerate(((counts <= SHORT, hashed_signatures), (counts >= LONG, binned_signatures))):
+        own = np.flatnonzero(chosen)
+        if not len(own):
+            continue
+        mine = chosen[line]
+        least = sign(values[mine], np.searchsorted(own, line[mine]), len(own), bands * rows)
+        for band in range(bands):
+            keys = np.full(len(own), U(2 * band + kind + 1))
+            for row in range(rows):
+                keys = A.mix(keys * U(0x9FB21C651E98DF25) + least[:, band * rows + row])
+            yield own, keys
+
+
 def _band_entries(k: int, bands: int, rows: int):
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[Entries]:
         for batch in A.chunks(batches):
@@ -110,12 +136,8 @@ def _band_entries(k: int, bands: int, rows: int):
             a, b, starts, ends = a[once], b[once], lines.starts[once], lines.ends[once]
             if not len(a):
                 continue
-            least = signatures(*_shingles(sums, starts, ends, k), len(a), bands * rows)
-            for band in range(bands):
-                keys = np.full(len(a), U(band + 1))
-                for row in range(rows):
-                    keys = A.mix(keys * U(0x9FB21C651E98DF25) + least[:, band * rows + row])
-                yield keys, a, b
+            for own, keys in band_keys(*_shingles(sums, starts, ends, k), len(a), bands, rows):
+                yield keys, a[own], b[own]
 
     return entries
 
