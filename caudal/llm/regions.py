@@ -29,7 +29,7 @@ from caudal.llm.stage import Stage
 #: Entries that a task holds before it sends them.
 FLUSH = 1 << 20
 #: A region of at most so many nodes is joined by pairs; larger ones are divided by a pivot.
-SMALL = 32
+SMALL = 256
 _HIGH = U(32)
 
 #: keys, and the nodes that have them as 64 and 32 bits
@@ -185,7 +185,7 @@ def _may_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def _small_pairs(regions: DataFrame, sketches: DataFrame, percent: int, spanning: bool) -> DataFrame:
     """node, pivot of the pairs in different components of a small region that their sketches let be similar.
 
-    ``spanning``: only as many as connect what all of them would connect. A region has at most ``SMALL`` nodes.
+    ``spanning``: only as many as connect what all of them would connect. A small region has few nodes.
     """
 
     def pairs(table: pa.Table) -> pa.Table:
@@ -228,7 +228,7 @@ def _open(regions: DataFrame, components: DataFrame, stage: Stage, name: str) ->
 
 
 def join_regions(
-    regions: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.ndarray], percent: int, stage: Stage
+    regions: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.ndarray], percent: int, stage: Stage, small: int = SMALL
 ) -> DataFrame:
     """node, component: nodes connected by links of at least ``percent`` similarity inside some region.
 
@@ -257,11 +257,11 @@ def join_regions(
         if rows.isEmpty():
             return components
         # what few pairs may connect first; where they don't, all pairs that are left
-        few = rows.where(F.col("n") <= SMALL)
+        few = rows.where(F.col("n") <= small)
         link(stage.put(_small_pairs(few, sketches, percent, True), f"few-{step}"), f"few-{step}")
         left = _open(few.select("region", "node"), components, stage, f"left-{step}")
         link(stage.put(_small_pairs(left, sketches, percent, False), f"all-{step}"), f"all-{step}")
-        rows = rows.where(F.col("n") > SMALL)
+        rows = rows.where(F.col("n") > small)
         if rows.isEmpty():
             return components
         top = rows.groupBy("region").agg(F.max(F.struct("degree", "node")).alias("top")).select("region", F.col("top.node").alias("pivot"))

@@ -91,8 +91,8 @@ def test_merged_runs_are_in_order_with_their_common_prefixes():
 # sets
 
 
-@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80), (1, 60)])
-def test_components_of_similar_documents(spark, k, percent):
+@pytest.mark.parametrize(("k", "percent", "small"), [(3, 90, 8), (5, 80, 256)])
+def test_components_of_similar_documents(spark, k, percent, small):
     rng = random.Random(23)
     base = [f"w{rng.randint(0, 400)}" for _ in range(120)]
     family = []
@@ -102,7 +102,7 @@ def test_components_of_similar_documents(spark, k, percent):
             own[rng.randrange(len(own))] = f"v{rng.randint(0, 300)}"
         family.append((400 + i, " ".join(own)))
     rows = ROWS + family
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(documents(spark, rows), k, percent).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(documents(spark, rows), k, percent, small=small).collect()}
     assert got == jaccard_components(rows, k, percent)
 
 
