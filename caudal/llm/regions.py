@@ -73,7 +73,7 @@ def _columns(parcel: bytes, *kinds: type) -> list[np.ndarray]:
 
 
 def meet(docs: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Iterator[Entries]]) -> DataFrame:
-    """region, node: all nodes that have a key in common with a different node.
+    """region, node: all nodes that have a key in common with a different node, each once a region.
 
     A task sends a key once, with one node; if several of its nodes have the key, they are known to share it
     and go their own ways, so a key that a third of all nodes has is one entry a task. Inside a bucket keys
@@ -120,7 +120,8 @@ def meet(docs: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Iterator
             if len(region):
                 yield pa.RecordBatch.from_arrays([pa.array(region), node_bytes(a, b)], ["region", "node"])
 
-    return docs.mapInArrow(send, P.PARCELS).repartitionById(parts, "bucket").mapInArrow(found, "region long, node binary")
+    # a node comes from every task that knows it to share the key
+    return docs.mapInArrow(send, P.PARCELS).repartitionById(parts, "bucket").mapInArrow(found, "region long, node binary").distinct()
 
 
 def first_differences(own: np.ndarray, pivot: np.ndarray, percent: int) -> tuple[bool, np.ndarray]:
@@ -217,7 +218,10 @@ def _small_pairs(regions: DataFrame, sketches: DataFrame, percent: int, spanning
 
 
 def _open(regions: DataFrame, components: DataFrame, stage: Stage, name: str) -> DataFrame:
-    """region, n, node, component, degree of the regions that may still join components; regions of the same nodes once."""
+    """region, n, node, component, degree of the regions that may still join components; regions of the same nodes once.
+
+    ``regions`` has a node once a region: n and the marks are those of the set of nodes.
+    """
     rows = regions.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
     several = rows.groupBy("region").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), *marks)

@@ -175,6 +175,20 @@ def test_band_recall():
     assert met >= 0.97 * tried
 
 
+def test_pairs_that_the_same_tasks_hold_are_all_found(spark):
+    """Both members of many alike pairs are in the same two partitions: no pair stands for another."""
+    rng = random.Random(29)
+    pairs = []
+    for _ in range(30):
+        own = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(80)]
+        pairs.append((" ".join(own), " ".join([*own[:-1], "other"])))
+    texts = list(enumerate([t for pair in pairs for t in pair] * 2))
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(texts, 2), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(frame, 3, 90).collect()}
+    assert got == jaccard_components(texts, 3, 90)
+    assert {r["doc_id"]: r["text"] for r in lines.remove_lines(frame).collect()} == without_lines(texts)
+
+
 # graphs
 
 
