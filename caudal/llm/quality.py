@@ -22,7 +22,7 @@ FLOOR = (0.75, 0.08, 0.25, 0.1, 0.05)
 CUTOFF = 100.0
 #: Median of the chi-square distribution with five degrees of freedom, to which distances are scaled.
 MEDIAN = 4.351
-#: A group of fewer rows is judged by the rules alone.
+#: A group of fewer rows is judged as part of its language, a language of fewer rows as part of the corpus.
 MIN_GROUP = 30
 
 _WORD = r"[^\\x20\\x09-\\x0D]"
@@ -130,7 +130,7 @@ def _quantile(rows: DataFrame, share: float, name: str) -> DataFrame:
         counts.select(*_KEY, "b", below.alias("below"), F.sum("n").over(group).alias("rows"))
         .where(F.col("below") >= share * F.col("rows"))
         .groupBy(*_KEY)
-        .agg(F.min("b").alias(name), F.first("rows").alias("rows"))
+        .agg(F.min("b").alias(name))
     )
 
 
@@ -145,7 +145,7 @@ def robust_distances(rows: DataFrame, stage: Stage) -> DataFrame:
     moments = _moments(rows)
     for step in range(STEPS):
         near = _distances(rows, moments)
-        edges = stage.put(_quantile(near, SUPPORT, "edge").select(*_KEY, "edge"), f"edges{step}")
+        edges = stage.put(_quantile(near, SUPPORT, "edge"), f"edges{step}")
         part = near.join(edges, _KEY).where(_bucket() <= F.col("edge"))
         moments = stage.put(_moments(part), f"moments{step}")  # a row a group
     near = _distances(rows, moments)
@@ -154,6 +154,29 @@ def robust_distances(rows: DataFrame, stage: Stage) -> DataFrame:
     return near.join(middle, _KEY).withColumn("d", F.col("d") * F.least(scale, F.lit(1.0)))
 
 
+def _pooled(rows: DataFrame, stage: Stage) -> DataFrame:
+    """The rows under the names of all groups whose estimate they are part of; ``judged`` in the one that judges them.
+
+    The least of language and source, language, and corpus that has ``MIN_GROUP`` rows judges, or else the corpus.
+    A language or the corpus is estimated from all of its rows, where any is judged by it.
+    """
+    sizes = stage.put(rows.groupBy(*_KEY).agg(F.count("*").alias("n")), "sizes")
+    languages = sizes.groupBy("_lang").agg(F.sum("n").alias("of_lang"), F.min("n").alias("least"))
+    rare = languages.agg(F.min("of_lang")).first()[0]
+    by_corpus = rare is not None and rare < MIN_GROUP
+    own, common = F.col("n") >= MIN_GROUP, F.col("of_lang") >= MIN_GROUP
+    # names of groups begin with a letter, so that none is another's
+    names = [
+        F.when(own, F.struct(F.concat(F.lit("g"), "_lang").alias("l"), F.concat(F.lit("g"), "_source").alias("s"), F.lit(True).alias("judged"))),
+        F.when(common & (F.col("least") < MIN_GROUP), F.struct(F.concat(F.lit("l"), "_lang").alias("l"), F.lit("").alias("s"), (~own).alias("judged"))),
+        F.when(F.lit(by_corpus), F.struct(F.lit("").alias("l"), F.lit("").alias("s"), (~own & ~common).alias("judged"))),
+    ]
+    groups = sizes.join(languages, "_lang").select(*_KEY, F.filter(F.array(*names), lambda g: g.isNotNull()).alias("_groups"))
+    others = [c for c in rows.columns if c not in _KEY]
+    spread = rows.join(stage.put(groups, "groups"), _KEY).select(*others, F.explode("_groups").alias("g"))
+    return spread.select(*others, F.col("g.l").alias("_lang"), F.col("g.s").alias("_source"), F.col("g.judged").alias("judged"))
+
+
 def judge_quality(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
 ) -> DataFrame:
@@ -161,8 +184,8 @@ def judge_quality(
 
     A document goes if it fails the base rules or lies far outside its language and source. Null language
     or source counts as an empty name. An empty text has no words and fails. Groups with fewer than
-    ``MIN_GROUP`` documents that pass the rules reject nobody by distance. Repeated rows are judged alike.
-    Other columns are not carried.
+    ``MIN_GROUP`` documents that pass the rules are judged by the distance to their whole language, or to the
+    corpus where that has too few as well. Repeated rows are judged alike. Other columns are not carried.
     """
     stage = Stage(docs.sparkSession)
     named = docs.select(
@@ -175,8 +198,8 @@ def judge_quality(
     passed = rows.where(~F.col("base_failed")).select(
         "id", *_KEY, *STATISTICS, "base_failed", *[x.alias(f"x{i}") for i, x in enumerate(_transformed())]
     )
-    near = robust_distances(passed, stage)
-    judged = near.withColumn("kept", (F.col("rows") < MIN_GROUP) | (F.col("d") <= CUTOFF))
+    near = robust_distances(_pooled(passed, stage), stage)
+    judged = near.where("judged").withColumn("kept", F.col("d") <= CUTOFF)
     columns = [F.col("id").alias(id_col), *STATISTICS, "base_failed"]
     failed = rows.where("base_failed").select(*columns, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
     return judged.select(*columns, F.col("d").alias("distance"), "kept").unionByName(failed)

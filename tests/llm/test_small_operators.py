@@ -133,6 +133,18 @@ def test_strange_documents_go_and_clean_ones_stay(spark):
     assert kept.count() == 81 and "digest" in kept.columns
 
 
+def test_small_groups_are_judged_by_what_they_belong_to(spark):
+    rng = random.Random(13)
+    prose = lambda: " ".join("".join(rng.choice("abcdef") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(20, 300)))
+    junk = lambda: " ".join(w + "###" for w in prose().split())
+    groups = [("en", "hot")] * 60 + [("en", f"s{i}") for i in range(20)] + [("xx", "s1")] * 3 + [(None, None)] * 3 + [("l", "")] * 2
+    rows = [(i, prose(), *g) for i, g in enumerate(groups)]
+    rows += [(100 + i, junk(), *g) for i, g in enumerate([("en", "hot"), ("en", "s1"), ("en", None), ("xx", "s1"), (None, None), ("yy", "z")])]
+    got = {r["doc_id"]: r for r in quality.judge_quality(documents(spark, rows)).collect()}
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got.values())
+    assert {d for d, r in got.items() if not r["kept"]} == set(range(100, 106))
+
+
 # mixing
 
 
