@@ -114,7 +114,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _loose_spans(text: str) -> Iterator[tuple[int, int, int]]:
-    if "at)" in text or "at]" in text or "at}" in text or " dot " in text:
+    if "at)" in text or "at]" in text or "at}" in text or " at " in text and "dot" in text:
         for m in _SPELT_EMAIL.finditer(text):
             if " at " not in m.group() or "dot" in m.group():
                 yield 0, *m.span()

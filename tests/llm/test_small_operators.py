@@ -297,6 +297,13 @@ def test_candidates_are_added_where_labelers_agree(spark):
     assert added[0] == 40 and added[1] == 40 and added[4] == 0
 
 
+def test_spelt_addresses_are_searched_in_every_form():
+    for at in (" (at) ", "[at]", " {at} ", " at "):
+        for dot in (" (dot) ", "[dot]", " {dot} ", " dot "):
+            text = f"john{at}example{dot}com"
+            assert [(c.kind, c.start, c.end) for c in pii.find_spans(text)] == [(0, 0, len(text))], text
+
+
 def test_reliable_labelers_are_told_from_noise():
     rng = np.random.default_rng(12)
     truth = rng.random(4000) < 0.4
