@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import exact, jaccard, lines, mixing, packing, pii, quality, substrings, suffixes, urls
+from caudal.llm import exact, jaccard, lines, mixing, packing, phrases, pii, quality, substrings, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +96,28 @@ SELECT doc_id, source, block, slot, slot * 16 + r % 16 AS place FROM blocks JOIN
 """
 
 QUERIES["op9_quality_rules"] = lambda spark, sf: quality.judge_quality(table(spark, sf, "documents"))
+
+QUERIES["op11_phrases"] = lambda spark, sf: phrases.collocations(table(spark, sf, "documents"))
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+SQL["op11_phrases"] = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                       unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+grams AS (SELECT lang, w[i:i + k - 1] AS p FROM starts, range(1, 6) AS ks(k) WHERE i + k - 1 <= len(w)),
+counted AS (SELECT lang, p, count(*) AS f FROM grams GROUP BY lang, p HAVING count(*) >= 100),
+candidates AS (SELECT lang, p, f AS a FROM counted WHERE len(p) >= 2),
+inner_ones AS (SELECT lang, p[b:b + m - 1] AS p, max(a) AS longer FROM candidates, range(1, 5) AS bs(b), range(2, 5) AS ms(m)
+               WHERE m < len(p) AND b + m - 1 <= len(p) GROUP BY 1, 2),
+kept AS (SELECT c.lang, c.p, c.a FROM candidates c LEFT JOIN inner_ones i USING (lang, p) WHERE coalesce(100 * longer, 0) < 100 * a),
+cuts AS (SELECT c.lang, c.p, c.a, k, x.f AS l, y.f AS r, n,
+                ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+         FROM (SELECT *, unnest(range(1, len(p))) AS k FROM kept) c
+         JOIN counted x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN counted y ON y.lang = c.lang AND y.p = c.p[k + 1:]
+         JOIN sizes s ON s.lang = c.lang),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS cut FROM cuts),
+ranked AS (SELECT *, array_to_string(p, ' ') AS phrase FROM lowest WHERE cut = 1)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked) WHERE rank <= 2000
+"""
