@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import exact, jaccard, lines, mixing, packing, phrases, pii, quality, substrings, suffixes, urls
+from caudal.llm import exact, jaccard, lines, mixing, packing, phrases, pii, quality, spelling, substrings, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -121,3 +121,43 @@ ranked AS (SELECT *, array_to_string(p, ' ') AS phrase FROM lowest WHERE cut = 1
 SELECT lang, rank, phrase, a, l, r, n, score
 FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked) WHERE rank <= 2000
 """
+
+
+def damaged_words(docs: DataFrame, length: int = 7, least: int = 2) -> DataFrame:
+    """Words with their numbers, after one in 31 runs of letters of a document has lost a code point.
+
+    A row without an id has whole runs.
+    """
+    runs = spelling.word_counts(docs, rf"[A-Za-z\u00C0-\u00FF]{{{length},}}")
+    h = F.crc32(F.concat(F.col("id").cast("string"), F.lit(":"), F.col("word")).cast("binary"))
+    at = F.pmod("h", F.length("word").cast("long")).cast("int")
+    less = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.length("word")))
+    words = runs.withColumn("h", h).select(F.when(F.pmod("h", F.lit(31)) == 0, less).otherwise(F.col("word")).alias("word"))
+    return words.where(F.length("word") >= length).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+
+
+QUERIES["op12_spelling_variants"] = lambda spark, sf: spelling.spelling_groups(damaged_words(table(spark, sf, "documents")))
+SQL["op12_spelling_variants"] = rf"""
+WITH RECURSIVE runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')), {_LOWER}) AS run FROM documents),
+few AS (SELECT doc_id, run, count(*) AS k FROM runs GROUP BY ALL),
+steps AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                 lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+coded AS (SELECT *, flatten(list_transform(string_split(doc_id::VARCHAR || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128
+                 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6)::BIGINT, 128 + (unicode(c) & 63)::BIGINT] END)) AS bytes FROM few),
+hashed AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295, bytes),
+                 lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM coded, steps),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, k FROM hashed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM words, range(1, 1000) AS places(i) WHERE i <= length(word)),
+pairs AS (SELECT a.word, b.word AS other FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+          UNION SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+          UNION SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT p.word, count(*) AS n_near, arg_min(p.other, struct_pack(x := -w.n, y := p.other)) AS form, max(w.n) AS form_n
+         FROM pairs p JOIN words w ON w.word = p.other GROUP BY p.word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form,
+                 CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+ways AS (SELECT word, word AS here, 0 AS steps FROM forms
+         UNION ALL SELECT ways.word, forms.form, steps + 1 FROM ways JOIN forms ON forms.word = ways.here WHERE forms.form IS NOT NULL),
+ends AS (SELECT word, arg_max(here, steps) AS root FROM ways GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
