@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.llm import exact, jaccard, lines, mixing, packing, phrases, pii, quality, spelling, substrings, suffixes, urls
+from caudal.llm import exact, jaccard, language, lines, mixing, packing, phrases, pii, quality, spelling, substrings, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -161,3 +161,5 @@ ways AS (SELECT word, word AS here, 0 AS steps FROM forms
 ends AS (SELECT word, arg_max(here, steps) AS root FROM ways GROUP BY word)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
 """
+
+QUERIES["op13_language_id"] = lambda spark, sf: language.identify_languages(table(spark, sf, "documents"))
