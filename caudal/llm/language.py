@@ -103,26 +103,16 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
                 has[doc, gram] = True
             total += np.add.reduce(has, axis=0, dtype=np.uint8)
             documents += len(group)
-    yield pa.RecordBatch.from_arrays([pa.array([documents]), pa.array([total.tobytes()], pa.binary())], ["documents", "counts"])
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, at).astype(np.int32)), pa.array(np.append(documents, total[at]))], ["gram", "n"])
 
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
-    """ln((n + 1) / (df + 1)) + 1 for each gram, over all texts; each task gives one row."""
-    totals, documents = np.zeros(DIMS, np.int64), 0
-    added = texts.mapInArrow(_document_frequencies, "documents long, counts binary").mapInArrow(_add_up, "documents long, counts binary")
-    for row in added.coalesce(1).mapInArrow(_add_up, "documents long, counts binary").toLocalIterator():
-        totals += np.frombuffer(row["counts"], np.int64)
-        documents += row["documents"]
-    return np.log((documents + 1) / (totals + 1)) + 1
-
-
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals, documents = np.zeros(DIMS, np.int64), 0
-    for batch in batches:
-        for n, counts in zip(batch["documents"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-            totals += np.frombuffer(counts, np.int64)
-            documents += n
-    yield pa.RecordBatch.from_arrays([pa.array([documents]), pa.array([totals.tobytes()], pa.binary())], ["documents", "counts"])
+    """ln((n + 1) / (df + 1)) + 1 for each gram, over all texts. A task gives a row for each gram it has seen."""
+    counted = texts.mapInArrow(_document_frequencies, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    totals = np.zeros(DIMS + 1, np.int64)
+    totals[counted["gram"]] = counted["n"]  # the number of texts stands last, under -1
+    return np.log((totals[-1] + 1) / (totals[:-1] + 1)) + 1
 
 
 def _features(inverse: np.ndarray):
@@ -138,7 +128,7 @@ def _features(inverse: np.ndarray):
                 at = np.flatnonzero(counts)
                 values = SCALE * counts[at] / max(counts.sum(), 1) * inverse[at]
                 yield pa.RecordBatch.from_arrays(
-                    [one["lang"], one["shard"], one["place"], pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([values.tobytes()], pa.binary())],
+                    [one["lang"], one["shard"], one["place"], pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([values.astype(np.float32).tobytes()], pa.binary())],
                     ["lang", "shard", "place", "grams", "tf_idf"],
                 )
 
@@ -171,7 +161,7 @@ def follow(z: np.ndarray, n: np.ndarray, rows: list[tuple[int, np.ndarray, np.nd
 
 def _rows(batch: pa.RecordBatch, languages: list[str]) -> list[tuple[int, np.ndarray, np.ndarray]]:
     return [
-        (languages.index(lang), np.frombuffer(grams, np.int32), np.frombuffer(values, np.float64))
+        (languages.index(lang), np.frombuffer(grams, np.uint16), np.frombuffer(values, np.float32))
         for lang, grams, values in zip(batch["lang"].to_pylist(), batch["grams"].to_pylist(), batch["tf_idf"].to_pylist(), strict=True)
     ]
 
@@ -294,7 +284,7 @@ def _predictions(model: Model):
 
 
 def identify_languages(
-    docs: DataFrame, fit_rows: int = 20_000, shards: int = 8, passes: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame, fit_rows: int = 8_000, shards: int = 8, passes: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score.
 
