@@ -165,6 +165,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         points = np.full((len(words), width), _END, np.uint32)
         text = np.frombuffer("".join(w for w, s in zip(words, short.tolist(), strict=True) if s).encode("utf-32-le"), np.uint32)
         points[(np.arange(width) < length[:, None]) & short[:, None]] = text
+        # an edit takes one letter away or adds one, or both
+        letters = np.bitwise_or.reduce(np.where(points == _END, U(0), U(1) << (points % 64).astype(U)), axis=1)
         starts = P.groups(key, low, high)
         last = np.repeat(np.append(starts, len(key))[1:], np.diff(np.append(starts, len(key))))
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -177,6 +179,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c in range(0, len(asked), PAIRS):
                 a = asked[c : c + PAIRS]
                 quick = a[short[a + step]]
+                quick = quick[np.bitwise_count(letters[quick] ^ letters[quick + step]) <= 2]
                 quick = quick[near(points, length, quick, quick + step)]
                 slow = [i for i in a[~short[a + step]].tolist() if one_edit(words[i], words[i + step])]
                 found += [(quick, quick + step), (np.array(slow, np.int64), np.array(slow, np.int64) + step)]
