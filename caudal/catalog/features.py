@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudal.catalog import Catalog, table
+from caudal.operators import dictionary as D
 from caudal.operators import features as X
 
 catalog = Catalog()
@@ -60,23 +61,38 @@ catalog.add(
 
 
 def _hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hashed counts of each document add up to its words; as many weights as counts are above zero or have none."""
+    """(id, bucket, tf_idf) for every bucket that a document has a term in."""
     rows = documents(spark, sf_dir)
     weights = Pipeline(stages=X.hashed_tf_idf_stages()).fit(rows).transform(rows)
-    counts, values = vector_to_array("hashTokens"), vector_to_array("tfIdf")
-    return weights.select(
-        "id",
-        F.aggregate(counts, F.lit(0.0), lambda a, v: a + v).cast("long").alias("tokens"),
-        F.forall(F.arrays_zip(counts.alias("n"), values.alias("w")), lambda x: (x["n"] > 0) | (x["w"] == 0)).alias("sound"),
-    )
+    placed = weights.select("id", F.posexplode(F.arrays_zip(vector_to_array("hashTokens").alias("n"), vector_to_array("tfIdf").alias("w"))).alias("bucket", "v"))
+    return placed.where("v.n > 0").select("id", "bucket", F.round("v.w", 6).alias("tf_idf"))
+
 
+# the hash of a term has no SQL
+catalog.add("hashed_tfidf", _hashed)
 
 catalog.add(
-    "hashed_tfidf",
-    _hashed,
-    lambda: f"""WITH {terms_sql()}
-    SELECT doc_id AS id, coalesce(n, 0)::BIGINT AS tokens, true AS sound
-    FROM documents LEFT JOIN (SELECT id, sum(tf) AS n FROM tf GROUP BY id) ON doc_id = id""",
+    "term_dictionary",
+    lambda spark, sf: D.term_dictionary(documents(spark, sf)),
+    lambda: f"WITH {terms_sql()} SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS index FROM df",
+)
+
+
+def _term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir)
+    vectors = D.term_vectors(rows, D.term_dictionary(rows))
+    return vectors.withColumn("tf_idf", F.transform("tf_idf", lambda x: F.round(x, 6)))
+
+
+catalog.add(
+    "term_vectors",
+    _term_vectors,
+    lambda: f"""WITH {terms_sql()}, numbered AS (SELECT *, row_number() OVER (ORDER BY term) - 1 AS index FROM df),
+    vectors AS (SELECT id, list(index ORDER BY index) AS indices, list(tf ORDER BY index) AS tf,
+                       list(round(tf * ln((m + 1.0) / (df + 1)), 6) ORDER BY index) AS tf_idf
+                FROM tf JOIN numbered USING (term), m GROUP BY id)
+    SELECT doc_id AS id, coalesce(indices, []) AS indices, coalesce(tf, []) AS tf, coalesce(tf_idf, []) AS tf_idf
+    FROM documents LEFT JOIN vectors ON doc_id = id""",
 )
 
 
@@ -105,16 +121,14 @@ catalog.add(
 )
 
 
-def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The category vectors, each told by its count and the sum of its entries."""
-    vectors = X.category_vectors(_flags(spark, sf_dir), "flag", "flagVector")
-    total = F.aggregate(vector_to_array("flagVector"), F.lit(0.0), lambda a, v: a + v)
-    return vectors.select("id", F.col("flagCount").cast("long").alias("flagCount"), total.alias("total"))
-
-
 catalog.add(
     "category_vectors",
-    _vectors,
-    f"""WITH {_FLAGS_SQL}
-    SELECT id, count(*) AS "flagCount", count(*) FILTER (trim(flag) <> '')::DOUBLE AS total FROM flags GROUP BY id""",
+    lambda spark, sf: D.category_vectors(_flags(spark, sf), "flag")[0],
+    f"""WITH {_FLAGS_SQL},
+    entries AS (SELECT id, lower(trim(flag)) AS category, count(*) AS n FROM flags WHERE trim(flag) <> '' GROUP BY 1, 2),
+    numbered AS (SELECT category, row_number() OVER (ORDER BY category) - 1 AS index FROM (SELECT DISTINCT category FROM entries)),
+    vectors AS (SELECT id, list(index ORDER BY index) AS indices, list(n ORDER BY index) AS n
+                FROM entries JOIN numbered USING (category) GROUP BY id)
+    SELECT id, "flagCount", coalesce(indices, []) AS indices, coalesce(n, []) AS n
+    FROM (SELECT id, count(*) AS "flagCount" FROM flags GROUP BY id) LEFT JOIN vectors USING (id)""",
 )

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudal.catalog import Catalog, table
+from caudal.operators import paths
 from caudal.operators import sessions as S
+from caudal.session import work_dir
 from caudal.sources.readers import parse_hits
+from caudal.streaming import sessions as streamed
 
 catalog = Catalog()
 
@@ -146,3 +149,50 @@ catalog.add(
              (SELECT count(*) FROM (SELECT DISTINCT user_id, strftime(ts, '%Y-%m-%d') FROM events)) AS visitors)
     SELECT conversions, visitors, round(conversions / visitors, 9) AS rate FROM counted""",
 )
+
+
+# Patterns over the steps of a user and day, in their order.
+PATHS = {
+    "as_funnel": "R.*P.*C",
+    "no_click_before_purchase": "^[^P]*C",
+    "twice_then_leaves": "(RP.?){2,}.*[^C]$",
+    "steps_between": "C.{3,5}(P+C|RR)",
+}
+
+
+def _add_path(name: str, pattern: str) -> None:
+    catalog.add(
+        f"path_{name}",
+        lambda spark, sf: paths.match_days(_hits(spark, sf), pattern, sequence="event_id", **COLUMNS, **EVENT),
+        f"""WITH days AS (
+          SELECT user_id AS userid, strftime(ts, '%Y-%m-%d') AS day,
+                 string_agg(CASE event_type WHEN 'view' THEN 'R' WHEN 'click' THEN 'P' ELSE 'C' END, '' ORDER BY ts, event_id) AS path
+          FROM events WHERE event_type IN ('view', 'click', 'purchase') GROUP BY 1, 2)
+        SELECT userid, day FROM days WHERE regexp_matches(path, '{pattern}')""",
+    )
+
+
+for _name, _pattern in PATHS.items():
+    _add_path(_name, _pattern)
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events arrive in four parts, by day, each taken in by a run of its own; closed and open sessions at the end."""
+    folder = work_dir(spark)
+    hits = _hits(spark, sf_dir)
+    first, days = hits.agg(F.min("ts").cast("date"), F.datediff(F.max("ts"), F.min("ts")) + 1).first()
+    part = F.least(F.lit(3), F.floor(F.datediff(F.col("ts").cast("date"), F.lit(first)) * 4 / (days or 1)))
+    hits.withColumn("part", part.cast("int")).write.partitionBy("part").parquet(f"{folder}/parts")
+    for n in range(4):
+        arrived = spark.read.schema(hits.schema).parquet(f"{folder}/parts/part={n}")
+        arrived.write.mode("append").parquet(f"{folder}/hits")
+        streamed.update_sessions(spark, f"{folder}/hits", hits.schema, f"{folder}/sessions", f"{folder}/state", amount="value", **COLUMNS, **EVENT)
+    return streamed.all_sessions(spark, f"{folder}/sessions", f"{folder}/state").withColumn("amount", F.round("amount", 2))
+
+
+catalog.add(
+    "sessions_streamed",
+    _streamed,
+    f"""WITH {_sessions_sql(30)}
+    SELECT userid, "start", "end", renders, plays, checkouts, round(amount, 2) AS amount FROM sessions""",
+)

@@ -63,12 +63,6 @@ def strip_hidden(html: Column) -> Column:
     return F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*+>.*?</\1\s*>", "")
 
 
-def elements(html: Column, tag: str) -> Column:
-    """Inner markup of every element of a tag that does not hold itself, in order."""
-    inner = rf"([^<]*+(?:<(?!/?{tag}\b)[^<]*+)*+)"
-    return F.regexp_extract_all(html, F.lit(rf"(?i)<{tag}\b[^>]*+>{inner}</{tag}\s*>"), F.lit(1))
-
-
 def text_nodes(inner: Column) -> Column:
     """Texts that stand directly in an element, not decoded: what child elements hold is left out."""
     childless = F.regexp_replace(inner, r"(?i)<(\w++)\b[^>]*+>[^<]*+</\1\s*>", "<x>")
@@ -76,12 +70,6 @@ def text_nodes(inner: Column) -> Column:
     return F.filter(pieces, lambda t: t != "")
 
 
-def table_rows(html: Column) -> Column:
-    """Texts in the cells of every table row that has a cell, not decoded: an array of arrays."""
-    rows = F.filter(elements(html, "tr"), lambda row: F.regexp_like(row, F.lit(r"(?i)<td\b")))
-    return F.transform(rows, lambda row: F.flatten(F.transform(elements(row, "td"), text_nodes)))
-
-
 def collapse(text: str) -> str:
     """SQL for a text with every run of whitespace as one space."""
     return f"regexp_replace({text}, r'(?U){SPACE}+', ' ')"

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal.functions import markup as M
+from caudal.functions import tagstack as G
 from caudal.functions.time import iso_day
 
 
@@ -45,15 +49,32 @@ def _section(page: Column, element_id: str) -> Column:
     return F.element_at(F.split(rest, r"""(?i)<\w++[^>]*?\bid\s*+=\s*+["']?proyectos""", 2), 1)
 
 
-def _after_label(section: Column, label: str) -> Column:
-    """Markup after the first ``div`` text that is exactly the label; null when there is none."""
-    return F.try_element_at(F.split(section, rf"(?<=>){label}(?=<)", 2), F.lit(2))
-
-
 # Labels of the parts of a project's course.
 DEPUTIES_LABEL = " Giro a comisiones en Diputados "
 SENATE_LABEL = " Giro a comisiones en Senado "
-COURSE_LABEL = " Tr(?:á|&aacute;|&#225;|&#x[eE]1;)mite "
+COURSE_LABEL = " Trámite "
+
+_PARTS = (
+    "head array<string>, law_text array<string>, signers array<array<string>>, dcommissions array<string>, "
+    "scommissions array<string>, results array<array<string>>"
+)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of the sections, from the stack of open elements; not decoded."""
+    kinds = (pa.list_(pa.string()), pa.list_(pa.list_(pa.string())))
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            laws = [G.law_texts(x) for x in part["text"].to_pylist()]
+            signers = [[row for row in G.signer_rows(x) if len(row) == 3] for x in part["signers"].to_pylist()]
+            courses = [G.course_parts(x, DEPUTIES_LABEL, SENATE_LABEL, COURSE_LABEL) for x in part["course"].to_pylist()]
+            deputies, senate, rows = zip(*courses, strict=True)
+            results = [[row for row in x if len(row) == 4] for x in rows]
+            columns = [pa.array(x, kinds[deep]) for x, deep in ((laws, 0), (signers, 1), (deputies, 0), (senate, 0), (results, 1))]
+            yield pa.RecordBatch.from_arrays(
+                [part["head"].cast(kinds[0]), *columns], ["head", "law_text", "signers", "dcommissions", "scommissions", "results"]
+            )
 
 
 def project_records(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -61,7 +82,8 @@ def project_records(pages: DataFrame, html: str = "html") -> DataFrame:
 
     Pages of another kind, and pages whose heading does not hold the three texts
     (id, summary, date), give no row. Rows of the signers' table that do not have three
-    texts and rows of the results' table that do not have four are left out.
+    texts and rows of the results' table that do not have four are left out. Elements may hold others of their
+    kind; what the sections hold is found by a stack of open elements.
     """
     class_ = r"""\bclass\s*+=\s*+["'][^"']*"""
     container = rf"(?i)<div\b(?=[^>]*{class_}\bcontainer\b)(?=[^>]*{class_}\btabGral\b)[^>]*+>"
@@ -92,23 +114,8 @@ def project_records(pages: DataFrame, html: str = "html") -> DataFrame:
         _section(F.col("page"), "proyectosTramite").alias("course"),
     )
 
-    # a div of the text section counts when a paragraph follows it inside the same parent
-    inner = r"[^<]*+(?:<(?!/?div\b)[^<]*+)*+"
-    following = rf"(?=(?:[^<]*+(?:<div\b[^>]*+>{inner}</div\s*>|<(?!/?div\b|p\b)))*+[^<]*+<p\b)"
-    law_div = rf"(?i)<div\b(?![^>]*font-style:italic)[^>]*+>({inner})</div\s*>{following}"
-    div_texts = F.flatten(F.transform(F.regexp_extract_all("text", F.lit(law_div), F.lit(1)), M.text_nodes))
-
-    def commissions(label: str) -> Column:
-        first_table = F.get(M.elements(_after_label(F.col("course"), label), "table"), F.lit(0))
-        return F.flatten(F.transform(M.elements(first_table, "td"), M.text_nodes))
-
-    raw = parts.select(
-        "head",
-        F.array_join(F.transform(div_texts, lambda t: F.concat(F.lit(" "), t)), "").alias("law_text"),
-        F.filter(M.table_rows(F.col("signers")), lambda r: F.size(r) == 3).alias("signers"),
-        commissions(DEPUTIES_LABEL).alias("dcommissions"),
-        commissions(SENATE_LABEL).alias("scommissions"),
-        F.filter(M.table_rows(_after_label(F.col("course"), COURSE_LABEL)), lambda r: F.size(r) == 4).alias("results"),
+    raw = parts.mapInArrow(_parts, _PARTS).withColumn(
+        "law_text", F.array_join(F.transform("law_text", lambda t: F.concat(F.lit(" "), t)), "")
     )
 
     decoded, stripped = M.decode("t"), M.strip(M.decode("t"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import LDA, KMeans, KMeansModel
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,30 +10,36 @@ from pyspark.sql import functions as F
 
 def lda_topics(
     vectors: DataFrame,
-    counter: CountVectorizerModel,
+    vocabulary: list[str] | DataFrame,
     k: int = 10,
     iterations: int = 10,
     optimizer: str = "em",
     seed: int = 1,
     terms: int = 10,
 ) -> tuple[DataFrame, DataFrame]:
-    """Topics (topic, terms, termWeights) and document weights (id, topicDistribution)."""
+    """Topics (topic, terms, termWeights) and document weights (id, topicDistribution).
+
+    ``vocabulary`` names the vectors' places: a list, or a table (term, index).
+    """
     lda = LDA(k=k, maxIter=iterations, optimizer=optimizer, featuresCol="termFrequency", seed=seed)
     model = lda.fit(vectors)
-    topics = name_terms(model.describeTopics(terms), counter.vocabulary)
+    topics = name_terms(model.describeTopics(terms), vocabulary)
     return topics, model.transform(vectors).select("id", "topicDistribution")
 
 
-def name_terms(described: DataFrame, vocabulary: list[str]) -> DataFrame:
+def name_terms(described: DataFrame, vocabulary: list[str] | DataFrame) -> DataFrame:
     """Topics with words in place of term numbers; numbers outside the vocabulary are skipped.
 
-    Only the described terms are named, a few per topic, so they can go to every task.
+    Only the described terms are named, a few per topic, so they can go to every task; a vocabulary that is a table
+    stays where it is.
     """
-    spark = described.sparkSession
-    asked = {i for row in described.select("termIndices").collect() for i in row[0] if i < len(vocabulary)}
-    words = spark.createDataFrame([(i, vocabulary[i]) for i in sorted(asked)], "termIndex int, term string")
     placed = described.select("topic", "termWeights", F.posexplode("termIndices").alias("pos", "termIndex"))
-    named = placed.join(F.broadcast(words), "termIndex")
+    if isinstance(vocabulary, DataFrame):
+        named = vocabulary.select(F.col("index").alias("termIndex"), "term").join(F.broadcast(placed), "termIndex")
+    else:
+        asked = {i for row in described.select("termIndices").collect() for i in row[0] if i < len(vocabulary)}
+        words = described.sparkSession.createDataFrame([(i, vocabulary[i]) for i in sorted(asked)], "termIndex int, term string")
+        named = placed.join(F.broadcast(words), "termIndex")
     return named.groupBy("topic", "termWeights").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda t: t["term"]).alias("terms")
     ).select("topic", "terms", "termWeights")

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caudal.operators import dictionary as D
 from caudal.operators import features as X
 from caudal.operators import topics as T
 from caudal.plans.corpus import flat_tables
@@ -25,11 +26,12 @@ def run_topic_models(
     seed: int = 1,
 ) -> None:
     """Topics and document weights for each number of topics and optimizer; words are counted once for all."""
-    vectors, counter = X.term_vectors(X.law_text(spark.read.parquet(laws), sep=" "))
-    vectors = materialise(vectors)
+    documents = X.law_text(spark.read.parquet(laws), sep=" ")
+    dictionary = D.term_dictionary(documents)
+    vectors = materialise(D.ml_vectors(D.term_vectors(documents, dictionary), max(1, dictionary.count())))
     runs = [(k, optimizer) for optimizer in optimizers for k in ks]
     for k, optimizer in runs:
-        topics, doc_topics = T.lda_topics(vectors, counter, k, iterations, optimizer, seed)
+        topics, doc_topics = T.lda_topics(vectors, dictionary, k, iterations, optimizer, seed)
         write_parquet(topics, topics_path(out, k, optimizer))
         write_parquet(doc_topics, doc_topics_path(out, k, optimizer))
 
@@ -38,9 +40,10 @@ def run_clustering(
     spark: SparkSession, laws: str, out: str, k: int, iterations: int = 10, features: str = "termFrequency", seed: int = 1
 ) -> None:
     """Cluster of each law, and the model. Summary and text are put together without a space."""
-    vectors, _ = X.term_vectors(X.law_text(spark.read.parquet(laws), sep=""))
-    if features == "tfIdf":
-        vectors = X.tf_idf_vectors(vectors)
+    documents = X.law_text(spark.read.parquet(laws), sep="")
+    dictionary = D.term_dictionary(documents)
+    entries = {"termFrequency": "tf", "tfIdf": "tf_idf"}[features]
+    vectors = D.ml_vectors(D.term_vectors(documents, dictionary), max(1, dictionary.count()), entries, features)
     clusters, model = T.kmeans_clusters(materialise(vectors), k, iterations, features, seed)
     save_model(model, f"{out}/kmeans_{k}.model")
     write_parquet(clusters, f"{out}/laws_kmeans_{k}.parquet")

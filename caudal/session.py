@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -28,6 +30,16 @@ def shared_dir(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stage"
 
 
+def work_dir(spark: SparkSession) -> str:
+    """A new folder in the shared one, which goes when the session ends."""
+    name = f"{shared_dir(spark)}/work-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return name
+
+
 def remove(spark: SparkSession, name: str) -> None:
     """Delete a folder, wherever it lies."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)

@@ -1,9 +1,12 @@
 import json
+import random
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
 
 from caudal.functions import markup as M
+from caudal.functions import tagstack as G
 from caudal.operators.documents import page_records, project_records
 from caudal.plans.corpus import flat_tables, run_extraction, run_normalise
 from caudal.sources.readers import parse_projects
@@ -161,3 +164,134 @@ def test_entities_of_the_whole_standard_and_long_numbers(spark):
     texts = ["&hellip;&euml;&mdash;", "&#00000233;&#x000000E9;", "&#0;&nosuch;&amp;", "&fjlig;"]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in frame.selectExpr(M.decode("t")).collect()] == ["…ë—", "éé", "&#0;&nosuch;&", "fj"]
+
+
+# nested markup
+
+
+class Plain(HTMLParser):
+    """A tree of lists: [tag, attributes, children], texts as strings."""
+
+    def __init__(self, markup):
+        super().__init__(convert_charrefs=False)
+        self.root = ["", {}, []]
+        self.open = [self.root]
+        self.feed(markup)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, dict(attrs), []]
+        self.open[-1][2].append(node)
+        if tag != "br":
+            self.open.append(node)
+
+    def handle_endtag(self, tag):
+        assert self.open.pop()[0] == tag
+
+    def handle_data(self, data):
+        inside = self.open[-1][2]
+        if inside and isinstance(inside[-1], str):
+            inside[-1] += data
+        else:
+            inside.append(data)
+
+    def handle_entityref(self, name):
+        self.handle_data(f"&{name};")
+
+
+def below(node, tag):
+    for child in node[2]:
+        if not isinstance(child, str):
+            if child[0] == tag:
+                yield child
+            yield from below(child, tag)
+
+
+def direct(node, tag):
+    """Texts directly in elements of a tag, in the order of the page."""
+    for child in node[2]:
+        if isinstance(child, str):
+            if node[0] == tag:
+                yield child
+        else:
+            yield from direct(child, tag)
+
+
+def plain_laws(node, own=False):
+    for i, child in enumerate(node[2]):
+        if isinstance(child, str):
+            if own:
+                yield child
+        else:
+            follows = any(not isinstance(c, str) and c[0] == "p" for c in node[2][i + 1 :])
+            yield from plain_laws(child, child[0] == "div" and follows and "font-style:italic" not in child[1].get("style", ""))
+
+
+def plain_rows(node):
+    cells = lambda row: [t for c in row[2] if not isinstance(c, str) for t in direct(c, "td")]
+    return [cells(row) for row in below(node, "tr") if any(not isinstance(c, str) and c[0] == "td" for c in row[2])]
+
+
+def random_markup(rng, depth, inside="div"):
+    out = []
+    for _ in range(rng.randint(0, 4)):
+        kind = rng.choice(["text", "text", "div", "b", "table", "br", "p"]) if depth else "text"
+        if inside == "p" and kind in ("div", "table", "p"):
+            kind = "b"
+        if kind == "text":
+            if not out or out[-1].endswith(">"):
+                out.append(rng.choice([" uno ", "dos", " Tr&aacute;mite ", "x &amp; y"]))
+        elif kind == "br":
+            out.append("<br>")
+        elif kind == "table":
+            cell = lambda: f"<td>{random_markup(rng, depth - 1, 'p' if rng.random() < 0.6 else 'td')}</td>"
+            out.append("<table>" + "".join("<tr>" + "".join(rng.choice([cell, lambda: "<th>h</th>"])() for _ in range(rng.randint(0, 4))) + "</tr>" for _ in range(rng.randint(0, 3))) + "</table>")
+        else:
+            style = rng.choice(["", "", ' style="font-style:italic"'])
+            out.append(f"<{kind}{style}>{random_markup(rng, depth - 1, 'p' if kind == 'p' or inside == 'p' else kind)}</{kind}>")
+    return "".join(out)
+
+
+def test_the_stack_reads_what_a_parser_reads():
+    rng = random.Random(7)
+    seen = 0
+    for _ in range(1500):
+        markup = random_markup(rng, 5)
+        root = Plain(markup).root
+        laws, rows_ = list(plain_laws(root)), plain_rows(root)
+        assert G.law_texts(markup) == laws
+        assert G.signer_rows(markup) == rows_
+        labelled = lambda node: any("Tr&aacute;mite" in t for t in all_texts(node))
+        tables = [c for parent in [root, *everything(root)] for i, c in enumerate(parent[2]) if not isinstance(c, str) and c[0] == "table"
+                  and any(not isinstance(b, str) and b[0] == "div" and labelled(b) for b in parent[2][:i])]
+        chosen = [r for r in below(root, "tr") if any(r is x for t in tables for x in below(t, "tr"))]
+        want = [list(t for c in r[2] if not isinstance(c, str) for t in direct(c, "td")) for r in chosen if any(not isinstance(c, str) and c[0] == "td" for c in r[2])]
+        assert G.course_parts(markup, "-", "-", " Trámite ")[2] == want
+        seen += bool(laws) + bool(rows_) + bool(want)
+    assert seen > 300
+
+
+def everything(node):
+    for child in node[2]:
+        if not isinstance(child, str):
+            yield child
+            yield from everything(child)
+
+
+def all_texts(node):
+    return [t for x in [node, *everything(node)] for t in x[2] if isinstance(t, str)]
+
+
+def test_a_page_with_nested_elements(spark):
+    html = PAGE.format(course=COURSE).replace("Art. 1.- Uno", "<div>dentro</div> Art. 1.- Uno")
+    html = html.replace("<td>Salta</td>", "<td>Salta<table><tr><th>x</th></tr></table></td>")
+    (record,) = project_records(pages(spark, html)).collect()
+    assert record.law_text == "  Art. 1.- Uno y dos Art. 2.- Tres"[1:]
+    assert [tuple(s) for s in record.signers] == [("Pérez, A.", "Salta", "UCR"), ("Díaz", "Chaco", "PJ")]
+
+
+def test_tags_left_open_and_tags_too_many():
+    assert G.signer_rows("<table><tr><td>a<td>b</tr><tr><td>c</table></b>") == [["a", "b"], ["c"]]
+    assert G.law_texts("<div>a</div></span><p>x</p></div><div>outside</div><p>") == ["a"]
+    assert G.law_texts("<div>outer <div>inner</div> tail</div><p>") == ["outer ", " tail"]
+    assert G.law_texts("") == [] and G.signer_rows("a < b <") == []

@@ -12,7 +12,7 @@ from caudal.operators import text as T
 from caudal.session import materialise, shared_dir
 
 SF_DIR = "/root/testdata/sf0.001"
-FITTED = {"lda_em", "lda_online", "kmeans", "lr", "dt", "rf", "nb", "hashed_tfidf", "category_vectors"}
+FITTED = {"lda_em", "lda_online", "lda_em_documents", "lda_online_documents", "kmeans", "lr", "dt", "rf", "nb", "hashed_tfidf"}
 
 OWN = {name for name, query in entry.queries().items() if query.__module__.startswith("caudal.catalog")}
 
