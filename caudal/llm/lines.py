@@ -84,6 +84,17 @@ def one_line(text: str, k: int) -> np.ndarray:
     return np.unique(_shingles(_sums(points), np.array([0]), np.array([len(points)]), k)[0])
 
 
+def line_sets(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several lines, sorted and each once, one line after another, and how many each has."""
+    points = code_points(lines)
+    cuts = np.append(np.flatnonzero(points == 10), len(points)) if lines else np.zeros(0, np.int64)
+    values, line = _shingles(_sums(points), np.append(0, cuts[:-1] + 1) if lines else cuts, cuts, k)
+    order = np.lexsort((values, line))
+    values, line = values[order], line[order]
+    once = P.groups(line, values)
+    return values[once], np.bincount(line[once], minlength=len(lines))
+
+
 def hashed_signatures(values: np.ndarray, line: np.ndarray, n: int, size: int) -> np.ndarray:
     """A row of ``size`` values for each of n lines, in order, each of which has a shingle: the least of as many hashes."""
     starts = np.searchsorted(line, np.arange(n))
@@ -162,7 +173,8 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines = text.split("\n")
             nodes += [x["node"] for x in asked]
             shapes += [lines[x["line"]] for x in asked]
-        sketches = [sketch(one_line(shape, SHINGLE)) for shape in shapes]
+        values, counts = line_sets(shapes, SHINGLE)
+        sketches = [sketch(own) for own in np.split(values, np.cumsum(counts)[:-1])] if shapes else []
         yield pa.RecordBatch.from_arrays(
             [pa.array(nodes, pa.binary()), pa.array(shapes, pa.string()), pa.array(sketches, pa.binary())], ["node", "shape", "sketch"]
         )
@@ -194,7 +206,7 @@ def repeated_lines(rows: DataFrame, stage: Stage) -> DataFrame:
     source = source.groupBy("s.id", "s.digest").agg(F.collect_list(F.struct("node", "s.line")).alias("asked"))
     held = rows.join(source.withColumnRenamed("id", "_id").withColumnRenamed("digest", "_digest"), F.expr("id <=> _id AND digest = _digest"))
     shapes = stage.put(held.select("text", "asked").mapInArrow(_pick, "node binary, shape string, sketch binary").dropDuplicates(["node"]), "shapes")
-    linked = stage.put(join_regions(regions, shapes, partial(one_line, k=SHINGLE), PERCENT, stage), "linked")
+    linked = stage.put(join_regions(regions, shapes, partial(line_sets, k=SHINGLE), PERCENT, stage), "linked")
     named = found.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # rows that repeat a document hold each of its lines as often; only the place tells lines apart
     first = named.groupBy("component").agg(F.min(F.struct("id", "digest", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")

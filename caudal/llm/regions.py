@@ -8,8 +8,8 @@ By the triangle inequality what x and y differ in from the pivot, dx and dy, mus
 at least (|dx| + |dy| - |xy|) / 2 shingles in common, |xy| being the most that similar sets differ in. So each
 node goes on to the regions of the first shingles of its difference, as many as make sure that two such nodes
 meet, those that the pivot doesn't have first. A cell's nodes near the pivot go to few regions or none. The new
-regions are joined in the same way, until all nodes of each are in one component. In a region of a few nodes
-the pairs are taken whose sketches, counts of shingles by class, don't differ too much to be similar.
+regions are joined in the same way, until all nodes of each are in one component. What the pivot leaves open in a
+region of a few nodes is found by the pairs whose sketches, counts of shingles by class, don't differ too much.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caudal.llm import arrays as A
 from caudal.llm import parcels as P
 from caudal.llm.arrays import U
 from caudal.llm.components import connected
@@ -28,7 +29,7 @@ from caudal.llm.stage import Stage
 
 #: Entries that a task holds before it sends them.
 FLUSH = 1 << 20
-#: A region of at most so many nodes is joined by pairs; larger ones are divided by a pivot.
+#: A region of at most so many nodes is finished by pairs; larger ones are divided further.
 SMALL = 256
 _HIGH = U(32)
 
@@ -143,28 +144,51 @@ def first_differences(own: np.ndarray, pivot: np.ndarray, percent: int) -> tuple
     return linked, np.concatenate((added, removed))[: n - max(1, least) + 1]
 
 
-def _measure(pairs: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.ndarray], percent: int) -> DataFrame:
-    """node, pivot, linked, firsts."""
+Sets = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+
+
+def similar(first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
+    """Which of several pairs of sets are similar enough; the values of all sets one after another, and their sizes."""
+    (x, n), (y, m) = first, second
+    pair = np.concatenate((np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)))
+    values = np.concatenate((x, y))
+    order = np.lexsort((values, pair))
+    pair, values = pair[order], values[order]
+    twice = (values[1:] == values[:-1]) & (pair[1:] == pair[:-1])
+    common = np.bincount(pair[1:][twice], minlength=len(n))
+    return 100 * common >= percent * (n + m - common)
+
+
+def _with_shapes(pairs: DataFrame, shapes: DataFrame) -> DataFrame:
+    pivots = shapes.select(F.col("node").alias("pivot"), F.col("shape").alias("pivot_shape"))
+    return pairs.join(shapes.select("node", "shape"), "node").join(pivots, "pivot")
+
+
+def _measure(pairs: DataFrame, shapes: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """node, pivot of the pairs that are similar enough."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, of_last = None, np.zeros(0, U)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                linked, firsts = [], []
-                for pivot, shape, other in zip(*(part[c].to_pylist() for c in ("pivot", "shape", "pivot_shape")), strict=True):
-                    if pivot != last:
-                        last, of_last = pivot, shingles(other)
-                    similar, first = first_differences(shingles(shape), of_last, percent)
-                    linked.append(similar)
-                    firsts.append(first.astype(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [part["node"], part["pivot"], pa.array(linked, pa.bool_()), pa.array(firsts, pa.list_(pa.int64()))],
-                    ["node", "pivot", "linked", "firsts"],
-                )
-
-    both = pairs.join(shapes.select("node", "shape"), "node").join(shapes.select(F.col("node").alias("pivot"), F.col("shape").alias("pivot_shape")), "pivot")
-    return both.mapInArrow(measure, "node binary, pivot binary, linked boolean, firsts array<long>")
+            for part in A.chunks(A.chunks(iter([batch]), "shape", 1 << 19), "pivot_shape", 1 << 19):
+                linked = similar(sets(part["shape"].to_pylist()), sets(part["pivot_shape"].to_pylist()), percent)
+                yield part.select(["node", "pivot"]).filter(pa.array(linked))
+
+    return _with_shapes(pairs, shapes).mapInArrow(measure, "node binary, pivot binary")
+
+
+def _onward(pairs: DataFrame, shapes: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """node, pivot, firsts: the shingles under which each node goes on."""
+
+    def onward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in A.chunks(A.chunks(iter([batch]), "shape", 1 << 19), "pivot_shape", 1 << 19):
+                own, n = sets(part["shape"].to_pylist())
+                other, m = sets(part["pivot_shape"].to_pylist())
+                own, other = np.split(own, np.cumsum(n)[:-1]), np.split(other, np.cumsum(m)[:-1])
+                firsts = [first_differences(x, y, percent)[1].astype(np.int64) for x, y in zip(own, other, strict=True)]
+                yield pa.RecordBatch.from_arrays([part["node"], part["pivot"], pa.array(firsts, pa.list_(pa.int64()))], ["node", "pivot", "firsts"])
+
+    return _with_shapes(pairs, shapes).mapInArrow(onward, "node binary, pivot binary, firsts array<long>")
 
 
 def sketch(values: np.ndarray) -> bytes:
@@ -176,40 +200,26 @@ def sketch(values: np.ndarray) -> bytes:
     return np.bincount((values & U(classes - 1)).astype(np.int64), minlength=classes).astype(np.uint32).tobytes()
 
 
-def _may_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    n, m = int(a.sum()), int(b.sum())
-    while len(a) != len(b):
-        a, b = (a, b.reshape(2, -1).sum(0)) if len(a) < len(b) else (a.reshape(2, -1).sum(0), b)
-    return int(np.abs(a - b).sum()) * (100 + percent) <= (100 - percent) * (n + m)
-
+def _may_link(counts: np.ndarray, percent: int, i: int) -> np.ndarray:
+    """Which of the rows before row i the sketches let be similar to it. Rows of one region have one number of classes."""
+    apart = np.abs(counts[:i] - counts[i]).sum(axis=1)
+    return apart * (100 + percent) <= (100 - percent) * (counts[:i].sum(axis=1) + counts[i].sum())
 
-def _small_pairs(regions: DataFrame, sketches: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    """node, pivot of the pairs in different components of a small region that their sketches let be similar.
 
-    ``spanning``: only as many as connect what all of them would connect. A small region has few nodes.
-    """
+def _small_pairs(regions: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """node, pivot of the pairs in different components of a small region that their sketches let be similar."""
 
     def pairs(table: pa.Table) -> pa.Table:
-        nodes = table["node"].to_pylist()
-        counts = [np.frombuffer(s, np.uint32).astype(np.int64) for s in table["sketch"].to_pylist()]
-        parents = list(range(len(nodes)))
-
-        def root(i: int) -> int:
-            while parents[i] != i:
-                parents[i] = parents[parents[i]]
-                i = parents[i]
-            return i
-
-        first: dict[bytes, int] = {}
-        for i, component in enumerate(table["component"].to_pylist()):
-            parents[i] = first.setdefault(component, i)
+        nodes, components = table["node"].to_pylist(), table["component"].to_pylist()
+        sketched = [np.frombuffer(s, np.uint32).astype(np.int64) for s in table["sketch"].to_pylist()]
+        classes = min(map(len, sketched))
+        counts = np.stack([s.reshape(-1, classes).sum(0) for s in sketched])
+        number = {c: k for k, c in enumerate(dict.fromkeys(components))}
+        component = np.array([number[c] for c in components])
         found = []
-        for i in range(len(nodes)):
-            for j in range(i):
-                if root(i) != root(j) and _may_link(counts[i], counts[j], percent):
-                    found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
-                    if spanning:
-                        parents[root(i)] = root(j)
+        for i in range(1, len(nodes)):
+            others = np.flatnonzero((component[:i] != component[i]) & _may_link(counts, percent, i))
+            found += [(max(nodes[i], nodes[j]), min(nodes[i], nodes[j])) for j in others.tolist()]
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["node", "pivot"])
 
@@ -231,48 +241,40 @@ def _open(regions: DataFrame, components: DataFrame, stage: Stage, name: str) ->
     return rows.join(kept, "region").join(degrees, "node").select("region", "n", "node", "component", "degree")
 
 
-def join_regions(
-    regions: DataFrame, shapes: DataFrame, shingles: Callable[[str], np.ndarray], percent: int, stage: Stage, small: int = SMALL
-) -> DataFrame:
+def join_regions(regions: DataFrame, shapes: DataFrame, sets: Sets, percent: int, stage: Stage, small: int = SMALL) -> DataFrame:
     """node, component: nodes connected by links of at least ``percent`` similarity inside some region.
 
-    ``shapes`` has a node's text and sketch, once, and ``shingles`` makes the text a sorted array of distinct
-    numbers. Nodes without a link may be left out.
+    ``shapes`` has a node's text and sketch, once, and ``sets`` makes texts arrays of distinct numbers, each sorted,
+    one after another, with their sizes. Nodes without a link may be left out.
     """
-    none = regions.select(F.col("node"), F.col("node").alias("pivot"), F.lit(True).alias("linked"), F.array().cast("array<long>").alias("firsts"))
-    measured, components = none.limit(0), none.limit(0).select("node", F.col("pivot").alias("component"))
+    components = regions.limit(0).select("node", F.col("node").alias("component"))
     sketches, step = shapes.select("node", "sketch"), 0
 
     def link(pairs: DataFrame, name: str) -> None:
-        """Measure the pairs that are not measured yet, and connect those that are similar."""
-        nonlocal measured, components
-        if pairs.isEmpty():
-            return
-        asked = pairs.join(measured.select("node", "pivot"), ["node", "pivot"], "left_anti")
-        new = stage.put(_measure(asked, shapes, shingles, percent), f"measured-{name}")
-        measured = measured.unionByName(new)
-        links = new.where("linked").select("node", "pivot")
-        if not links.isEmpty():
-            components = connected(links.union(components), stage, f"stars-{name}")
+        """Measure the pairs, and connect those that are similar."""
+        nonlocal components
+        new = stage.put(_measure(pairs, shapes, sets, percent), f"links-{name}")
+        if not new.isEmpty():
+            components = connected(new.union(components), stage, f"stars-{name}")
 
     rows = regions
     while True:
         rows = stage.put(_open(rows, components, stage, f"open-{step}"), f"open-{step}", free=not step)
-        if rows.isEmpty():
-            return components
-        # what few pairs may connect first; where they don't, all pairs that are left
-        few = rows.where(F.col("n") <= small)
-        link(stage.put(_small_pairs(few, sketches, percent, True), f"few-{step}"), f"few-{step}")
-        left = _open(few.select("region", "node"), components, stage, f"left-{step}")
-        link(stage.put(_small_pairs(left, sketches, percent, False), f"all-{step}"), f"all-{step}")
-        rows = rows.where(F.col("n") > small)
         if rows.isEmpty():
             return components
         top = rows.groupBy("region").agg(F.max(F.struct("degree", "node")).alias("top")).select("region", F.col("top.node").alias("pivot"))
         top = stage.put(top, f"pivots-{step}", free=False)
-        met = rows.join(top, "region").where(F.col("node") != F.col("pivot")).select("node", "pivot").distinct()
-        met = stage.put(met, f"met-{step}", free=False)
+        met = rows.join(top, "region").where(F.col("node") != F.col("pivot"))
+        met = stage.put(met.groupBy("node", "pivot").agg(F.max("n").alias("n")), f"met-{step}", free=False)
         link(met, f"cells-{step}")
-        firsts = met.join(measured, ["node", "pivot"]).select("node", "pivot", F.explode("firsts").alias("first"))
+        # of two nodes all is known; what else a pivot leaves open in a small region is found by pairs
+        few = rows.where((F.col("n") > 2) & (F.col("n") <= small)).select("region", "node")
+        left = stage.put(_open(few, components, stage, f"left-{step}"), f"left-{step}", free=False)
+        if not left.isEmpty():
+            link(stage.put(_small_pairs(left, sketches, percent), f"pairs-{step}", free=False), f"pairs-{step}")
+        large = met.where(F.col("n") > small)
+        if large.isEmpty():
+            return components
+        firsts = _onward(large, shapes, sets, percent).select("node", "pivot", F.explode("firsts").alias("first"))
         rows = stage.put(firsts.select(F.xxhash64("pivot", "first").alias("region"), "node").distinct(), f"regions-{step}", free=False)
         step += 1
