@@ -30,7 +30,7 @@ from caudal.llm.stage import Stage
 #: Entries that a task holds before it sends them.
 FLUSH = 1 << 20
 #: A region of at most so many nodes is finished by pairs; larger ones are divided further.
-SMALL = 256
+SMALL = 1024
 _HIGH = U(32)
 
 #: keys, and the nodes that have them as 64 and 32 bits
