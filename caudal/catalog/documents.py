@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudal.catalog import Catalog, table
+from caudal.session import work_dir
+from caudal.sources import checked
 from caudal.operators import documents as P
 from caudal.sources.readers import parse_projects
 
@@ -210,3 +212,23 @@ catalog.add(
     )
     + " FROM cut",
 )
+
+
+def _project_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON lines in files, those in German broken off; the records and the lines that give none."""
+    folder = work_dir(spark)
+    whole = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("summary"), F.col("text").alias("law_text")))
+    broken = F.when(F.col("lang") == "de", F.expr("left(line, length(line) - 1)")).otherwise(F.col("line"))
+    table(spark, sf_dir, "documents").select("lang", whole.alias("line")).select(broken).write.text(f"{folder}/projects")
+    read = checked.read_projects(spark, f"{folder}/projects")
+    good = read.good.select("id", "summary", F.length("law_text").cast("long").alias("chars"), F.lit(True).alias("readable"))
+    lost = read.bad.select(F.regexp_extract("line", '"id":"([0-9]+)"', 1).alias("id"), F.lit(None).cast("string").alias("summary"), F.lit(None).cast("long").alias("chars"), F.lit(False).alias("readable"))
+    return good.unionByName(lost)
+
+
+catalog.add(
+    "project_files",
+    _project_files,
+    """SELECT doc_id::VARCHAR AS id, CASE WHEN lang = 'de' THEN NULL ELSE source END AS summary,
+              CASE WHEN lang = 'de' THEN NULL ELSE length(text) END AS chars, lang <> 'de' AS readable FROM documents""",
+)

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudal.catalog import Catalog, table
+from caudal.operators import audience as A
 from caudal.operators import paths
+from caudal.operators import selection
 from caudal.operators import sessions as S
 from caudal.session import work_dir
+from caudal.sources import checked
 from caudal.sources.readers import parse_hits
 from caudal.streaming import sessions as streamed
 
@@ -196,3 +199,62 @@ catalog.add(
     f"""WITH {_sessions_sql(30)}
     SELECT userid, "start", "end", renders, plays, checkouts, round(amount, 2) AS amount FROM sessions""",
 )
+
+
+def _audience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users per day, week and month, all from the bitmaps of the days."""
+    hits = _hits(spark, sf_dir)
+    return A.audience(A.daily_bitmaps(hits, A.user_numbers(hits, "user_id"), **COLUMNS))
+
+
+catalog.add(
+    "audience",
+    _audience,
+    " UNION ALL ".join(
+        f"SELECT '{level}' AS level, strftime(date_trunc('{level}', ts), '%Y-%m-%d') AS start, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2"
+        for level in ("day", "week", "month")
+    ),
+)
+
+_SHARES = (0.1, 0.5, 0.9)
+
+catalog.add(
+    "amount_quantiles",
+    lambda spark, sf: selection.exact_quantiles(_hits(spark, sf), "value", _SHARES).withColumn("value", F.round("value", 6)),
+    " UNION ALL ".join(f"SELECT {q}::DOUBLE AS share, round(quantile_cont(value, {q}), 6) AS value FROM events" for q in _SHARES),
+)
+
+
+def _session_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    length = (F.unix_micros(F.col("end").cast("timestamp")) - F.unix_micros(F.col("start").cast("timestamp"))) / 1e6
+    lengths = _sessions(spark, sf_dir, 720).select(length.alias("seconds"))
+    return selection.exact_quantiles(lengths, "seconds", _SHARES).withColumn("value", F.round("value", 3))
+
+
+catalog.add(
+    "session_length_quantiles",
+    _session_lengths,
+    f"WITH {_sessions_sql(720)}, lengths AS (SELECT (epoch_us(\"end\") - epoch_us(\"start\")) / 1e6 AS s FROM sessions) "
+    + " UNION ALL ".join(f"SELECT {q}::DOUBLE AS share, round(quantile_cont(s, {q}), 3) AS value FROM lengths" for q in _SHARES),
+)
+
+
+def _hit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as log files, read back: hits, and lines of errors, which lack a field, counted as unreadable."""
+    folder = work_dir(spark)
+    _log_lines(spark, sf_dir).write.text(f"{folder}/log")
+    read = checked.read_hits(spark, f"{folder}/log")
+    good = read.good.select("timestamp", "userid", "event", "amount", F.lit(None).cast("long").alias("unreadable"))
+    bad = read.bad.agg(F.count(F.lit(1)).alias("unreadable"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in read.good.dtypes]
+    return good.unionByName(bad.select(*none, "unreadable"))
+
+
+catalog.add(
+    "hit_files",
+    _hit_files,
+    """SELECT date_trunc('second', ts) AS "timestamp", user_id::VARCHAR AS userid, event_type AS event,
+              CASE WHEN event_type = 'signup' THEN 0.0::DOUBLE ELSE value END AS amount, NULL::BIGINT AS unreadable
+       FROM events WHERE event_type <> 'error'
+       UNION ALL SELECT NULL, NULL, NULL, NULL, count(*) FROM events WHERE event_type = 'error'""",
+)
