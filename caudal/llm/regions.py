@@ -206,25 +206,36 @@ def _may_link(counts: np.ndarray, percent: int, i: int) -> np.ndarray:
     return apart * (100 + percent) <= (100 - percent) * (counts[:i].sum(axis=1) + counts[i].sum())
 
 
-def _small_pairs(regions: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """node, pivot of the pairs in different components of a small region that their sketches let be similar."""
+def _small_links(regions: DataFrame, shapes: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """node, pivot of links that connect what all pairs of a small region would connect, at most one less than nodes.
 
-    def pairs(table: pa.Table) -> pa.Table:
-        nodes, components = table["node"].to_pylist(), table["component"].to_pylist()
+    Pairs in different components that their sketches let be similar are compared here, by union-find.
+    """
+
+    def links(table: pa.Table) -> pa.Table:
+        nodes, shown = table["node"].to_pylist(), table["shape"].to_pylist()
         sketched = [np.frombuffer(s, np.uint32).astype(np.int64) for s in table["sketch"].to_pylist()]
         classes = min(map(len, sketched))
         counts = np.stack([s.reshape(-1, classes).sum(0) for s in sketched])
-        number = {c: k for k, c in enumerate(dict.fromkeys(components))}
-        component = np.array([number[c] for c in components])
+        values, sizes = sets(shown)
+        ends = np.cumsum(sizes)
+        number: dict[bytes, int] = {}
+        component = np.array([number.setdefault(c, len(number)) for c in table["component"].to_pylist()])
         found = []
         for i in range(1, len(nodes)):
-            others = np.flatnonzero((component[:i] != component[i]) & _may_link(counts, percent, i))
-            found += [(max(nodes[i], nodes[j]), min(nodes[i], nodes[j])) for j in others.tolist()]
+            own = values[ends[i] - sizes[i] : ends[i]]
+            for j in np.flatnonzero((component[:i] != component[i]) & _may_link(counts, percent, i)).tolist():
+                if component[j] == component[i]:
+                    continue  # linked with this node through another one by now
+                common = int(np.isin(values[ends[j] - sizes[j] : ends[j]], own, assume_unique=True).sum())
+                if 100 * common >= percent * (sizes[i] + sizes[j] - common):
+                    found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
+                    component[component == component[j]] = component[i]
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["node", "pivot"])
 
-    rows = regions.join(sketches, "node").select("region", "node", "component", "sketch")
-    return rows.groupBy("region").applyInArrow(pairs, "node binary, pivot binary").distinct()
+    rows = regions.join(shapes, "node").select("region", "node", "component", "shape", "sketch")
+    return rows.groupBy("region").applyInArrow(links, "node binary, pivot binary").distinct()
 
 
 def _open(regions: DataFrame, components: DataFrame, stage: Stage, name: str) -> DataFrame:
@@ -248,12 +259,11 @@ def join_regions(regions: DataFrame, shapes: DataFrame, sets: Sets, percent: int
     one after another, with their sizes. Nodes without a link may be left out.
     """
     components = regions.limit(0).select("node", F.col("node").alias("component"))
-    sketches, step = shapes.select("node", "sketch"), 0
+    step = 0
 
-    def link(pairs: DataFrame, name: str) -> None:
-        """Measure the pairs, and connect those that are similar."""
+    def link(links: DataFrame, name: str) -> None:
         nonlocal components
-        new = stage.put(_measure(pairs, shapes, sets, percent), f"links-{name}")
+        new = stage.put(links, f"links-{name}")
         if not new.isEmpty():
             components = connected(new.union(components), stage, f"stars-{name}")
 
@@ -266,12 +276,12 @@ def join_regions(regions: DataFrame, shapes: DataFrame, sets: Sets, percent: int
         top = stage.put(top, f"pivots-{step}", free=False)
         met = rows.join(top, "region").where(F.col("node") != F.col("pivot"))
         met = stage.put(met.groupBy("node", "pivot").agg(F.max("n").alias("n")), f"met-{step}", free=False)
-        link(met, f"cells-{step}")
+        link(_measure(met, shapes, sets, percent), f"cells-{step}")
         # of two nodes all is known; what else a pivot leaves open in a small region is found by pairs
         few = rows.where((F.col("n") > 2) & (F.col("n") <= small)).select("region", "node")
         left = stage.put(_open(few, components, stage, f"left-{step}"), f"left-{step}", free=False)
         if not left.isEmpty():
-            link(stage.put(_small_pairs(left, sketches, percent), f"pairs-{step}", free=False), f"pairs-{step}")
+            link(_small_links(left, shapes, sets, percent), f"few-{step}")
         large = met.where(F.col("n") > small)
         if large.isEmpty():
             return components
