@@ -34,7 +34,8 @@ def session_stream(
     Hits are put on their minute, and the gap is half a minute longer than ``minutes``, so whether windows that
     touch are merged doesn't matter. A session is closed, and what is held of it given up, when the latest time seen,
     less ``lateness``, has passed its end and the gap; hits that come later than that are dropped and counted in
-    the query's progress. Hits without a readable time or without a user belong to no session.
+    the query's progress. Hits without a readable time or without a user belong to no session. A time without zone is
+    taken in the session's zone, which should have no summer time: an hour that is skipped would shorten gaps.
     """
     if minutes <= 0:
         raise ValueError("minutes must be positive")
