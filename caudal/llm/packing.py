@@ -15,10 +15,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudal.llm.arrays import chunks
+from caudal.llm.parcels import groups
 from caudal.llm.stage import Stage
 
 
@@ -127,9 +129,9 @@ def encoder(path: str) -> Callable[[str], list[int]]:
 
 
 def tokenised_pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", numbers: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Pieces of at most ``capacity`` ids: id, piece, start, length, ids_crc32.
+    """Pieces of at most ``capacity`` ids: id, piece, start, length, ids_crc32, and the document's long columns ``numbers``.
 
     A document is its ids and ``end_id``. A longer one is cut so that only its first piece may be shorter.
     """
@@ -151,13 +153,14 @@ def tokenised_pieces(
                     batch["id"].take(pa.array(columns[0])),
                     pa.array(columns[1].astype(np.int32)),
                     *[pa.array(c) for c in columns[2:]],
+                    *[batch[c].take(pa.array(columns[0])) for c in numbers],
                 ],
-                ["id", "piece", "start", "length", "ids_crc32"],
+                ["id", "piece", "start", "length", "ids_crc32", *numbers],
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *numbers)
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(cut, ", ".join([f"id {kind}, piece int, start long, length long, ids_crc32 long", *[f"{c} long" for c in numbers]]))
 
 
 def ranked(pieces: DataFrame, buckets: int) -> DataFrame:
@@ -174,6 +177,23 @@ def ranked(pieces: DataFrame, buckets: int) -> DataFrame:
     )
 
 
+Places = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def places(counts: dict[int, int], capacity: int) -> Places:
+    """Gives the bin and the offset for lengths and ranks among the pieces of that length."""
+    plan = np.array(sorted(best_fit_decreasing(counts, capacity)), np.int64).reshape(-1, len(Placed._fields)).T
+    lengths, firsts, _, bins, each, offsets = plan
+    keys = (lengths << 44) + firsts
+
+    def place(length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(keys, (length << 44) + rank, "right") - 1
+        nth = rank - firsts[at]
+        return bins[at] + nth // each[at], offsets[at] + nth % each[at] * length
+
+    return place
+
+
 def pack(
     docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -187,16 +207,11 @@ def pack(
     stage = Stage(spark)
     pieces = stage.put(tokenised_pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = np.array(sorted(best_fit_decreasing(counts, capacity)), np.int64).reshape(-1, len(Placed._fields)).T
-    lengths, firsts, _, bins, each, offsets = plan
-    keys = (lengths << 44) + firsts
+    find = places(counts, capacity)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length, rank = (batch[c].to_numpy(zero_copy_only=False) for c in ("length", "rank"))
-            at = np.searchsorted(keys, (length << 44) + rank, "right") - 1
-            nth = rank - firsts[at]
-            sequence, offset = bins[at] + nth // each[at], offsets[at] + nth % each[at] * length
+            sequence, offset = find(*(batch[c].to_numpy(zero_copy_only=False) for c in ("length", "rank")))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(sequence), pa.array(offset)], [*batch.schema.names[:-1], "sequence_id", "offset"]
             )
@@ -207,3 +222,73 @@ def pack(
         place, f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )
     return placed.withColumnRenamed("id", id_col)
+
+
+#: Documents of a window that is packed by itself, where the order is to be kept.
+WINDOW = 8192
+
+
+def _with_place(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    at = docs.metadataColumn("_metadata")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), at["file_name"].alias("name"), at["row_index"].alias("row"))
+
+
+def in_order(docs: DataFrame, stage: Stage, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """id, text, file and row of the documents; file and first, the number of documents in the files before.
+
+    Files are numbers made of their names, and ordered by name, which begins with the number of the task that wrote
+    them. Documents that no Parquet files are behind are written first, as they stand. One row a file is summed up in
+    one task.
+    """
+    try:
+        rows = _with_place(docs, id_col, text_col)
+    except AnalysisException:
+        rows = _with_place(stage.put(docs.select(id_col, text_col), "documents"), id_col, text_col)
+    file = F.xxhash64("name").alias("file")
+    before = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("name").agg(F.count("*").alias("n"))
+    starts = stage.put(sizes.select(file, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "files")
+    return rows.select("id", "text", file, "row"), starts
+
+
+def pack_in_order(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = 1024,
+    end_id: int = 2,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
+    """The same rows as ``pack``, with the order of the documents kept from window to window.
+
+    Every ``window`` documents that follow one another are packed by themselves, by best fit decreasing, in one task;
+    what it holds is 48 bytes a piece. Sequence numbers rise with the windows and leave gaps, so sequences that are
+    read in their order have a mix of sources as the documents had it, to within a window. Nulls, empty texts,
+    repeated rows and empty tables as in ``pack``.
+    """
+    stage = Stage(docs.sparkSession)
+    rows, starts = in_order(docs, stage, id_col, text_col)
+    pieces = tokenised_pieces(rows, tokenizer, capacity, end_id, "id", "text", numbers=("file", "row")).join(starts, "file")
+    kind = pieces.schema["id"].dataType.simpleString()
+
+    def place(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("nth", "ascending"), ("piece", "ascending")])
+        length = table["length"].to_numpy()
+        order = np.argsort(length, kind="stable")
+        starts = groups(length[order])
+        sizes = np.diff(np.append(starts, len(order)))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order)) - np.repeat(starts, sizes)
+        sequence, offset = places(dict(zip(length[order[starts]].tolist(), sizes.tolist(), strict=True)), capacity)(length, rank)
+        sequence = sequence + (int(table["window"][0].as_py()) << 32)
+        columns = ["id", "piece", "start", "length", "ids_crc32"]
+        return table.select(columns).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+
+    placed = (
+        pieces.withColumn("nth", F.col("first") + F.col("row"))
+        .withColumn("window", F.expr(f"nth div {window}"))
+        .groupBy("window")
+        .applyInArrow(place, f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    )
+    return placed.withColumnRenamed("id", id_col)

@@ -34,8 +34,8 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences."""
-    return packing.pack(docs, tokenizer())
+    """The pieces of the documents and their places in sequences, whose numbers follow the mix."""
+    return packing.pack_in_order(docs, tokenizer())
 
 
 STAGES: list[tuple[str, Step]] = [

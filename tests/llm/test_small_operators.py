@@ -233,6 +233,28 @@ def test_packing_keeps_every_id(spark):
     assert used <= 1.1 * least + 1
 
 
+def test_sequences_follow_the_mix(spark, tmp_path):
+    """Sources that stand one after another by id are dealt out evenly over the sequences once they are mixed."""
+    rows = [(d, f"text number {d} " * (1 + d % 7), "en", "ab"[d // 400]) for d in range(800)]
+    frame = documents(spark, rows)
+    mixing.mixed(frame).write.parquet(str(tmp_path / "mixed"))
+    mixed = spark.read.parquet(str(tmp_path / "mixed"))
+    shares = {}
+    for name, docs in (("mixed", mixed), ("as it stands", frame.coalesce(1).sort("doc_id"))):
+        got = packing.pack_in_order(docs, tokenizer(), 64, window=64).collect()
+        used, least = check_pieces(got, {d: t for d, t, *_ in rows}, 64)
+        assert used <= 1.1 * least + 13
+        windows = defaultdict(set)
+        for r in got:
+            windows[r["sequence_id"] >> 32].add(r["doc_id"])
+        assert sorted(windows) == list(range(13))  # 12 of 64 documents, one of the last 32
+        assert all(len(windows[w]) == 64 for w in range(12))
+        shares[name] = [sum(d < 400 for w in range(n + 1) for d in windows[w]) for n in range(12)]
+    assert all(abs(first - 32 * (n + 1)) <= 16 for n, first in enumerate(shares["mixed"]))
+    assert shares["as it stands"][:6] == [64, 128, 192, 256, 320, 384]
+    assert packing.pack_in_order(documents(spark, []), tokenizer()).count() == 0
+
+
 # personal data
 
 BASE = {
