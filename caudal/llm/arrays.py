@@ -102,6 +102,14 @@ def joined(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     return out
 
 
+def sorted_each(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The values in stretches of so many, each stretch sorted by itself."""
+    out, ends = values.copy(), np.cumsum(counts).tolist()
+    for start, end in zip([0, *ends], ends):
+        out[start:end].sort()
+    return out
+
+
 def spans(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each run of true values."""
     edge = np.diff(np.concatenate(([0], mask.astype(np.int8), [0])))

@@ -89,8 +89,7 @@ def line_sets(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     points = code_points(lines)
     cuts = np.append(np.flatnonzero(points == 10), len(points)) if lines else np.zeros(0, np.int64)
     values, line = _shingles(_sums(points), np.append(0, cuts[:-1] + 1) if lines else cuts, cuts, k)
-    order = np.lexsort((values, line))
-    values, line = values[order], line[order]
+    values = A.sorted_each(values, np.bincount(line, minlength=len(lines)))
     once = P.groups(line, values)
     return values[once], np.bincount(line[once], minlength=len(lines))
 

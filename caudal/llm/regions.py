@@ -150,10 +150,11 @@ Sets = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 def similar(first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndarray, np.ndarray], percent: int) -> np.ndarray:
     """Which of several pairs of sets are similar enough; the values of all sets one after another, and their sizes."""
     (x, n), (y, m) = first, second
-    pair = np.concatenate((np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)))
-    values = np.concatenate((x, y))
-    order = np.lexsort((values, pair))
-    pair, values = pair[order], values[order]
+    pair = np.repeat(np.arange(len(n)), n + m)
+    first = np.repeat(np.arange(2 * len(n)) % 2 == 0, np.stack((n, m), 1).ravel())
+    values = np.empty(len(pair), x.dtype)
+    values[first], values[~first] = x, y
+    values = A.sorted_each(values, n + m)
     twice = (values[1:] == values[:-1]) & (pair[1:] == pair[:-1])
     common = np.bincount(pair[1:][twice], minlength=len(n))
     return 100 * common >= percent * (n + m - common)
@@ -206,6 +207,34 @@ def _may_link(counts: np.ndarray, percent: int, i: int) -> np.ndarray:
     return apart * (100 + percent) <= (100 - percent) * (counts[:i].sum(axis=1) + counts[i].sum())
 
 
+def _sketched(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of a region's nodes in one number of classes, and their components as numbers."""
+    sketches = [np.frombuffer(s, np.uint32).astype(np.int64) for s in table["sketch"].to_pylist()]
+    classes = min(map(len, sketches))
+    number: dict[bytes, int] = {}
+    component = np.array([number.setdefault(c, len(number)) for c in table["component"].to_pylist()])
+    return np.stack([s.reshape(-1, classes).sum(0) for s in sketches]), component
+
+
+def _candidates(regions: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
+    """region, node, component of the nodes that their sketches let be similar to one of another component.
+
+    Only sketches are sent here; most regions end with this, and the texts of the others are sent afterwards.
+    """
+
+    def candidates(table: pa.Table) -> pa.Table:
+        counts, component = _sketched(table)
+        kept = np.zeros(len(counts), bool)
+        for i in range(1, len(counts)):
+            near = (component[:i] != component[i]) & _may_link(counts, percent, i)
+            kept[:i] |= near
+            kept[i] |= near.any()
+        return table.select(["region", "node", "component"]).filter(pa.array(kept))
+
+    rows = regions.join(shapes.select("node", "sketch"), "node").select("region", "node", "component", "sketch")
+    return rows.groupBy("region").applyInArrow(candidates, "region long, node binary, component binary")
+
+
 def _small_links(regions: DataFrame, shapes: DataFrame, sets: Sets, percent: int) -> DataFrame:
     """node, pivot of links that connect what all pairs of a small region would connect, at most one less than nodes.
 
@@ -213,21 +242,19 @@ def _small_links(regions: DataFrame, shapes: DataFrame, sets: Sets, percent: int
     """
 
     def links(table: pa.Table) -> pa.Table:
-        nodes, shown = table["node"].to_pylist(), table["shape"].to_pylist()
-        sketched = [np.frombuffer(s, np.uint32).astype(np.int64) for s in table["sketch"].to_pylist()]
-        classes = min(map(len, sketched))
-        counts = np.stack([s.reshape(-1, classes).sum(0) for s in sketched])
-        values, sizes = sets(shown)
+        nodes = table["node"].to_pylist()
+        counts, component = _sketched(table)
+        values, sizes = sets(table["shape"].to_pylist())
         ends = np.cumsum(sizes)
-        number: dict[bytes, int] = {}
-        component = np.array([number.setdefault(c, len(number)) for c in table["component"].to_pylist()])
         found = []
         for i in range(1, len(nodes)):
             own = values[ends[i] - sizes[i] : ends[i]]
             for j in np.flatnonzero((component[:i] != component[i]) & _may_link(counts, percent, i)).tolist():
                 if component[j] == component[i]:
                     continue  # linked with this node through another one by now
-                common = int(np.isin(values[ends[j] - sizes[j] : ends[j]], own, assume_unique=True).sum())
+                both = np.concatenate((values[ends[j] - sizes[j] : ends[j]], own))
+                both.sort()
+                common = int(np.count_nonzero(both[1:] == both[:-1]))
                 if 100 * common >= percent * (sizes[i] + sizes[j] - common):
                     found.append((max(nodes[i], nodes[j]), min(nodes[i], nodes[j])))
                     component[component == component[j]] = component[i]
@@ -280,6 +307,7 @@ def join_regions(regions: DataFrame, shapes: DataFrame, sets: Sets, percent: int
         # of two nodes all is known; what else a pivot leaves open in a small region is found by pairs
         few = rows.where((F.col("n") > 2) & (F.col("n") <= small)).select("region", "node")
         left = stage.put(_open(few, components, stage, f"left-{step}"), f"left-{step}", free=False)
+        left = stage.put(_candidates(left, shapes, percent), f"near-{step}", free=False)
         if not left.isEmpty():
             link(_small_links(left, shapes, sets, percent), f"few-{step}")
         large = met.where(F.col("n") > small)
