@@ -93,6 +93,13 @@ def hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
+def rolling(sums: np.ndarray, k: int) -> np.ndarray:
+    """The same fingerprints of all stretches of k bytes, in order."""
+    n = max(0, len(sums) - k)
+    _, down = powers(len(sums))
+    return mix((sums[k:] - sums[:n]) * down[:n] + U(k * 0xD6E8FEB86659FD93 % 2**64))
+
+
 def joined(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     """Fingerprints of k neighbours in a row, in order."""
     n = max(0, len(h) - k + 1)

@@ -31,6 +31,8 @@ BANDS, ROWS = 10, 4
 #: Lines of at most so many shingles have a hash function for each value of their signature, those of at least
 #: so many have a bin; lines of sizes between have both, so that two lines that are alike have one kind in common.
 SHORT, LONG = 100, 80
+#: Bytes of text whose shingles are worked out at a time: their fingerprints stay near the processor.
+PIECE = 1 << 18
 
 
 class Lines(NamedTuple):
@@ -72,11 +74,15 @@ def _sums(points: np.ndarray) -> np.ndarray:
 
 def _shingles(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints of all shingles, and the line of each; a line shorter than a shingle is one."""
-    width = np.minimum(ends - starts, k)
-    counts = ends - starts - width + 1
+    counts = np.maximum(ends - starts - k, 0) + 1
+    before = np.cumsum(counts) - counts
     line = np.repeat(np.arange(len(starts)), counts)
-    at = np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[line]
-    return A.hashes(sums, at, at + width[line]), line
+    at = np.arange(len(line)) + np.repeat(starts - before, counts)
+    every = A.rolling(sums, k)
+    values = every.take(at, mode="clip") if len(every) else np.zeros(len(at), U)
+    short = ends - starts < k
+    values[before[short]] = A.hashes(sums, starts[short], ends[short])
+    return values, line
 
 
 def one_line(text: str, k: int) -> np.ndarray:
@@ -122,27 +128,26 @@ def binned_signatures(values: np.ndarray, line: np.ndarray, n: int, bins: int) -
 def band_keys(values: np.ndarray, line: np.ndarray, n: int, bands: int, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Numbers of lines, and their key for a band."""
     counts = np.bincount(line, minlength=n)
+    factors = np.random.default_rng(9).integers(1, 2**63, rows, dtype=np.int64).astype(U) * U(2) + U(1)
     for kind, (chosen, sign) in enumerate(((counts <= SHORT, hashed_signatures), (counts >= LONG, binned_signatures))):
         own = np.flatnonzero(chosen)
         if not len(own):
             continue
         mine = chosen[line]
-        least = sign(values[mine], np.searchsorted(own, line[mine]), len(own), bands * rows)
-        for band in range(bands):
-            keys = np.full(len(own), U(2 * band + kind + 1))
-            for row in range(rows):
-                keys = A.mix(keys * U(0x9FB21C651E98DF25) + least[:, band * rows + row])
-            yield own, keys
+        least = sign(values[mine], (np.cumsum(chosen) - 1)[line[mine]], len(own), bands * rows)
+        keys = (least.reshape(-1, bands, rows) * factors).sum(2, dtype=U)
+        keys = A.mix(keys + A.mix(2 * np.arange(bands).astype(U) + U(kind + 1)))
+        yield np.repeat(own, bands), keys.ravel()
 
 
 def _band_entries(k: int, bands: int, rows: int):
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[Entries]:
-        for batch in A.chunks(batches):
+        for batch in A.chunks(batches, size=PIECE):
             texts = batch["text"].to_pylist()
             points = code_points(texts)
             lines, sums = split_lines(points, texts), _sums(points)
             a, b = line_names(sums, lines.starts, lines.ends)
-            once = np.unique(a, return_index=True)[1]
+            once = np.sort(np.unique(a, return_index=True)[1])
             a, b, starts, ends = a[once], b[once], lines.starts[once], lines.ends[once]
             if not len(a):
                 continue
@@ -199,18 +204,22 @@ def repeated_lines(rows: DataFrame, stage: Stage) -> DataFrame:
     kind = rows.schema["id"].dataType.simpleString()
     regions = stage.put(meet(rows.select("text"), _band_entries(SHINGLE, BANDS, ROWS)), "regions")
     found = stage.put(rows.mapInArrow(_occurrences, f"id {kind}, digest long, line int, node binary"), "occurrences")
+    # occurrences are summed up by line once: all that follows sees lines that stand twice or share a region
+    place = F.struct("id", "digest", "line")
+    met = regions.select("node").distinct().withColumn("met", F.lit(True))
+    nodes = found.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n")).join(met, "node", "left").where("n > 1 OR met")
+    nodes = stage.put(nodes, "nodes")
     # the text of each line in a region, from one of the documents that have it
-    asked = stage.put(regions.select("node").distinct(), "asked")
-    source = found.join(asked, "node").groupBy("node").agg(F.min(F.struct("id", "digest", "line")).alias("s"))
-    source = source.groupBy("s.id", "s.digest").agg(F.collect_list(F.struct("node", "s.line")).alias("asked"))
+    source = nodes.where("met").groupBy("first.id", "first.digest").agg(F.collect_list(F.struct("node", "first.line")).alias("asked"))
     held = rows.join(source.withColumnRenamed("id", "_id").withColumnRenamed("digest", "_digest"), F.expr("id <=> _id AND digest = _digest"))
     shapes = stage.put(held.select("text", "asked").mapInArrow(_pick, "node binary, shape string, sketch binary").dropDuplicates(["node"]), "shapes")
     linked = stage.put(join_regions(regions, shapes, partial(line_sets, k=SHINGLE), PERCENT, stage), "linked")
-    named = found.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # rows that repeat a document hold each of its lines as often; only the place tells lines apart
-    first = named.groupBy("component").agg(F.min(F.struct("id", "digest", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = named.groupBy("component").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
     first = stage.put(first.select("component", "first"), "first")
-    later = named.join(first, "component").where(~F.struct("id", "digest", "line").eqNullSafe(F.col("first")))
+    repeated = stage.put(named.select("node", "component").join(first, "component").select("node", "first"), "repeated")
+    later = found.join(repeated, "node").where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("id", "digest").agg(F.collect_set("line").alias("gone"))
 
 

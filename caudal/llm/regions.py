@@ -56,6 +56,18 @@ def _held(entries: Iterator[Entries]) -> Iterator[list[np.ndarray]]:
         yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
+def _in_order(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+    """The entries by key and node, each once. Most keys have one node, so nodes are sorted where keys are equal only."""
+    order = np.argsort(key)
+    key, a, b = key[order], a[order], b[order]
+    same = np.concatenate(([False], key[1:] == key[:-1], [False]))
+    at = np.flatnonzero(same[1:] | same[:-1])
+    inner = at[np.lexsort((b[at], a[at], key[at]))]
+    a[at], b[at] = a[inner], b[inner]
+    once = P.groups(key, a, b)
+    return [c[once] for c in (key, a, b)]
+
+
 def _cut(bucket: np.ndarray, kind: int, *columns: np.ndarray) -> list[tuple[int, int, bytes]]:
     order = np.argsort(bucket, kind="stable")
     bucket, columns = bucket[order], [c[order] for c in columns]
@@ -84,10 +96,7 @@ def meet(docs: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Iterator
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, a, b in _held(entries(batches)):
-            order = np.lexsort((b, a, key))
-            key, a, b = key[order], a[order], b[order]
-            once = P.groups(key, a, b)
-            key, a, b = key[once], a[once], b[once]
+            key, a, b = _in_order(key, a, b)
             starts = P.groups(key)
             sizes = np.diff(np.append(starts, len(key)))
             bucket, short = ((key >> U(8)) % U(parts)).astype(np.int64), (key >> _HIGH).astype(np.uint32)
@@ -108,11 +117,7 @@ def meet(docs: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Iterator
                     a, short, b = _columns(parcel, np.uint64, np.uint32, np.uint32)
                     sent.append((np.int64(bucket) << 32 | short.astype(np.int64), a, b))
         if sent:
-            region, a, b = (np.concatenate(c) for c in zip(*sent, strict=True))
-            order = np.lexsort((b, a, region))
-            region, a, b = region[order], a[order], b[order]
-            once = P.groups(region, a, b)
-            region, a, b = region[once], a[once], b[once]
+            region, a, b = _in_order(*(np.concatenate(c) for c in zip(*sent, strict=True)))
             starts = P.groups(region)
             sizes = np.diff(np.append(starts, len(region)))
             many = np.repeat(sizes > 1, sizes)
