@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from caudal.llm import arrays as A
 from caudal.llm import parcels as P
 from caudal.llm.arrays import U
-from caudal.llm.regions import Entries, join_regions, meet, node_bytes, sketch
+from caudal.llm.components import connected
+from caudal.llm.pairs import distinct_regions, linked_pairs
+from caudal.llm.regions import SMALL, Entries, join_regions, meet, node_bytes, sketch
 from caudal.llm.stage import Stage
 
 #: Characters of a shingle, and the similarity from which on lines are alike. With seven characters, lines that
@@ -72,13 +74,13 @@ def _sums(points: np.ndarray) -> np.ndarray:
     return A.value_sums(A.mix(points.astype(U) + U(0x51ED270B7A1F3C6D)))
 
 
-def _shingles(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _shingles(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int, every: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints of all shingles, and the line of each; a line shorter than a shingle is one."""
     counts = np.maximum(ends - starts - k, 0) + 1
     before = np.cumsum(counts) - counts
     line = np.repeat(np.arange(len(starts)), counts)
     at = np.arange(len(line)) + np.repeat(starts - before, counts)
-    every = A.rolling(sums, k)
+    every = A.rolling(sums, k) if every is None else every
     values = every.take(at, mode="clip") if len(every) else np.zeros(len(at), U)
     short = ends - starts < k
     values[before[short]] = A.hashes(sums, starts[short], ends[short])
@@ -125,16 +127,18 @@ def binned_signatures(values: np.ndarray, line: np.ndarray, n: int, bins: int) -
     return least
 
 
-def band_keys(values: np.ndarray, line: np.ndarray, n: int, bands: int, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def band_keys(
+    sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int, bands: int, rows: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Numbers of lines, and their key for a band."""
-    counts = np.bincount(line, minlength=n)
+    counts = np.maximum(ends - starts - k, 0) + 1
+    every = A.rolling(sums, k)
     factors = np.random.default_rng(9).integers(1, 2**63, rows, dtype=np.int64).astype(U) * U(2) + U(1)
     for kind, (chosen, sign) in enumerate(((counts <= SHORT, hashed_signatures), (counts >= LONG, binned_signatures))):
         own = np.flatnonzero(chosen)
         if not len(own):
             continue
-        mine = chosen[line]
-        least = sign(values[mine], (np.cumsum(chosen) - 1)[line[mine]], len(own), bands * rows)
+        least = sign(*_shingles(sums, starts[own], ends[own], k, every), len(own), bands * rows)
         keys = (least.reshape(-1, bands, rows) * factors).sum(2, dtype=U)
         keys = A.mix(keys + A.mix(2 * np.arange(bands).astype(U) + U(kind + 1)))
         yield np.repeat(own, bands), keys.ravel()
@@ -151,14 +155,14 @@ def _band_entries(k: int, bands: int, rows: int):
             a, b, starts, ends = a[once], b[once], lines.starts[once], lines.ends[once]
             if not len(a):
                 continue
-            for own, keys in band_keys(*_shingles(sums, starts, ends, k), len(a), bands, rows):
+            for own, keys in band_keys(sums, starts, ends, k, bands, rows):
                 yield keys, a[own], b[own]
 
     return entries
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in A.chunks(batches):
+    for batch in A.chunks(batches, size=PIECE):
         texts = batch["text"].to_pylist()
         points = code_points(texts)
         lines = split_lines(points, texts)
@@ -177,11 +181,32 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines = text.split("\n")
             nodes += [x["node"] for x in asked]
             shapes += [lines[x["line"]] for x in asked]
-        values, counts = line_sets(shapes, SHINGLE)
-        sketches = [sketch(own) for own in np.split(values, np.cumsum(counts)[:-1])] if shapes else []
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.binary()), pa.array(shapes, pa.string()), pa.array(sketches, pa.binary())], ["node", "shape", "sketch"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(shapes, pa.string())], ["node", "shape"])
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in A.chunks(batches, "shape"):
+        values, counts = line_sets(batch["shape"].to_pylist(), SHINGLE)
+        sketches = [sketch(own) for own in np.split(values, np.cumsum(counts)[:-1])]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sketches, pa.binary())], ["node", "shape", "sketch"])
+
+
+def linked_lines(regions: DataFrame, shapes: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
+    """node, component: lines connected by links inside some region. ``regions`` has a node once a region.
+
+    The pairs of a region of up to ``small`` nodes are compared in its task. Larger regions are divided by pivots.
+    """
+    sets = partial(line_sets, k=SHINGLE)
+    rows = stage.put(distinct_regions(regions, stage, "several"), "several")
+    few = rows.where(F.col("n") <= small).join(shapes, "node")
+    links = stage.put(linked_pairs(few, sets, PERCENT), "links")
+    large = rows.where(F.col("n") > small).select("region", "node")
+    if not large.isEmpty():
+        asked = shapes.join(large.select("node").distinct(), "node").select("node", "shape")
+        sketched = stage.put(asked.mapInArrow(_sketched, "node binary, shape string, sketch binary"), "sketched")
+        divided = join_regions(large, sketched, sets, PERCENT, stage, small)
+        links = links.union(divided.select("node", F.col("component").alias("pivot")))
+    return connected(links, stage, "components")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +224,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_lines(rows: DataFrame, stage: Stage) -> DataFrame:
+def repeated_lines(rows: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
     """id, digest, gone: the numbers of the lines that go, for texts that lose any. ``rows``: id, text, digest."""
     kind = rows.schema["id"].dataType.simpleString()
     regions = stage.put(meet(rows.select("text"), _band_entries(SHINGLE, BANDS, ROWS)), "regions")
@@ -212,8 +237,8 @@ def repeated_lines(rows: DataFrame, stage: Stage) -> DataFrame:
     # the text of each line in a region, from one of the documents that have it
     source = nodes.where("met").groupBy("first.id", "first.digest").agg(F.collect_list(F.struct("node", "first.line")).alias("asked"))
     held = rows.join(source.withColumnRenamed("id", "_id").withColumnRenamed("digest", "_digest"), F.expr("id <=> _id AND digest = _digest"))
-    shapes = stage.put(held.select("text", "asked").mapInArrow(_pick, "node binary, shape string, sketch binary").dropDuplicates(["node"]), "shapes")
-    linked = stage.put(join_regions(regions, shapes, partial(line_sets, k=SHINGLE), PERCENT, stage), "linked")
+    shapes = stage.put(held.select("text", "asked").mapInArrow(_pick, "node binary, shape string").dropDuplicates(["node"]), "shapes")
+    linked = stage.put(linked_lines(regions, shapes, stage, small), "linked")
     named = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # rows that repeat a document hold each of its lines as often; only the place tells lines apart
     first = named.groupBy("component").agg(F.min("first").alias("first"), F.sum("n").alias("n")).where("n > 1")
@@ -223,7 +248,7 @@ def repeated_lines(rows: DataFrame, stage: Stage) -> DataFrame:
     return later.groupBy("id", "digest").agg(F.collect_set("line").alias("gone"))
 
 
-def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
     """One row per document: id, text, n_lines, n_removed.
 
     Of the lines that are alike, over all documents and connected through others, the first by id and place
@@ -233,7 +258,7 @@ def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     stage = Stage(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("digest", F.xxhash64("text"))
-    gone = repeated_lines(rows, stage).withColumnRenamed("id", "_id").withColumnRenamed("digest", "_digest")
+    gone = repeated_lines(rows, stage, small).withColumnRenamed("id", "_id").withColumnRenamed("digest", "_digest")
     kind = rows.schema["id"].dataType.simpleString()
     judged = rows.join(gone, F.expr("id <=> _id AND digest = _digest"), "left").select("id", "text", "gone")
     return judged.mapInArrow(_cut, f"id {kind}, text string, n_lines long, n_removed long").withColumnRenamed("id", id_col)

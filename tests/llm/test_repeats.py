@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from caudal.llm import jaccard, lines, substrings, suffixes
+from caudal.llm import jaccard, lines, pairs, substrings, suffixes
 from caudal.llm.components import connected
 from caudal.llm.stage import Stage
 from tests.llm.frames import corpus, documents, jaccard_components, quality, union_find, without_lines, words
@@ -166,23 +166,68 @@ def test_band_recall():
         if common < 0.8 * (len(sets[0]) + len(sets[1]) - common):
             continue
         tried += 1
-        values, owner = np.concatenate(sets), np.repeat([0, 1], [len(s) for s in sets])
+        sums = lines._sums(lines.code_points(pair))
+        starts, ends = np.array([0, len(pair[0]) + 1]), np.array([len(pair[0]), len(sums) - 1])
         keys = [set(), set()]
-        for own, found in lines.band_keys(values, owner, 2, lines.BANDS, lines.ROWS):
+        for own, found in lines.band_keys(sums, starts, ends, lines.SHINGLE, lines.BANDS, lines.ROWS):
             for n, key in zip(own, found, strict=True):
                 keys[n].add(int(key))
         met += bool(keys[0] & keys[1])
     assert met >= 0.97 * tried
 
 
+@pytest.mark.parametrize("small", [1, 3])
+def test_large_regions_of_lines_give_the_same(spark, small):
+    got = {r["doc_id"]: r["text"] for r in lines.remove_lines(documents(spark, ROWS), small=small).collect()}
+    assert got == without_lines(ROWS)
+
+
+def test_links_of_regions_connect_what_all_pairs_connect(spark):
+    rng = random.Random(31)
+    rows, sets = [], {}
+    for region in range(60):
+        base = [rng.randrange(10**6) for _ in range(rng.choice([3, 40, 300]))]
+        for _ in range(rng.choice([1, 2, 2, 5, 30])):
+            own = {x if rng.random() > rng.choice([0.0, 0.05, 0.2]) else rng.randrange(10**6) for x in base}
+            node = f"{len(rows):05}".encode()
+            rows.append((region, node, " ".join(map(str, sorted(own)))))
+            sets[node] = (region, own)
+
+    def numbers(texts):
+        own = [np.array(t.split(), np.uint64) for t in texts]
+        return np.concatenate(own), np.array([len(x) for x in own])
+
+    frame = spark.createDataFrame(rows, "region long, node binary, shape string").repartition(5)
+    links = [(bytes(r["node"]), bytes(r["pivot"])) for r in pairs.linked_pairs(frame, numbers, 80).collect()]
+    for a, b in links:
+        (r, x), (s, y) = sets[a], sets[b]
+        assert r == s and 100 * len(x & y) >= 80 * len(x | y)
+    every = [
+        (a, b) for a, (r, x) in sets.items() for b, (s, y) in sets.items() if r == s and a < b and 100 * len(x & y) >= 80 * len(x | y)
+    ]
+    assert len(every) > 100
+
+    def united(edges):
+        root = {n: n for n in sets}
+        for a, b in edges:
+            old, new = root[a], root[b]
+            root = {n: new if c == old else c for n, c in root.items()}
+        groups = {}
+        for n, c in root.items():
+            groups.setdefault(c, set()).add(n)
+        return sorted(map(sorted, groups.values()))
+
+    assert united(links) == united(every)
+
+
 def test_pairs_that_the_same_tasks_hold_are_all_found(spark):
     """Both members of many alike pairs are in the same two partitions: no pair stands for another."""
     rng = random.Random(29)
-    pairs = []
+    twins = []
     for _ in range(30):
         own = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(80)]
-        pairs.append((" ".join(own), " ".join([*own[:-1], "other"])))
-    texts = list(enumerate([t for pair in pairs for t in pair] * 2))
+        twins.append((" ".join(own), " ".join([*own[:-1], "other"])))
+    texts = list(enumerate([t for pair in twins for t in pair] * 2))
     frame = spark.createDataFrame(spark.sparkContext.parallelize(texts, 2), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(frame, 3, 90).collect()}
     assert got == jaccard_components(texts, 3, 90)
