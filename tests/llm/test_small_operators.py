@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from caudal.llm import exact, mixing, packing, pii, quality, urls
+from caudal.llm import exact, mixing, packing, parcels, pii, quality, urls
 from caudal.llm.queries import URL_RULES, tokenizer
 from caudal.llm.stage import Stage
 from tests.llm.frames import corpus, documents, quality as plain_quality
@@ -346,3 +346,11 @@ def test_empty_tables(spark):
         urls.judge_urls(spark.createDataFrame([], "page_id long, url string"), URL_RULES),
     ):
         assert frame.count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_parcels_give_back_what_was_sealed(n):
+    draw = np.random.default_rng(n)
+    for numbers in (np.sort(draw.integers(0, 1 << 20, n)), draw.integers(0, 1 << 32, n)):
+        sender, (got, column) = parcels.unseal(parcels.seal(-5, numbers, np.arange(n)), np.int64)
+        assert sender == -5 and got.tolist() == numbers.tolist() and column.tolist() == list(range(n))
