@@ -80,7 +80,7 @@ catalog.add(
 
 def _term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir)
-    vectors = D.term_vectors(rows, D.term_dictionary(rows))
+    vectors = D.term_vectors(rows, D.numbered_terms(rows))
     return vectors.withColumn("tf_idf", F.transform("tf_idf", lambda x: F.round(x, 6)))
 
 

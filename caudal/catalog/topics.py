@@ -132,7 +132,7 @@ for _column in ("source", "lang"):
 def _indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Vectors of the documents' terms for the models, and the dictionary."""
     rows = documents(spark, sf_dir)
-    dictionary = D.term_dictionary(rows)
+    dictionary = D.numbered_terms(rows)
     size = max(1, dictionary.count())
     return materialise(D.ml_vectors(D.term_vectors(rows, dictionary), size)), dictionary
 

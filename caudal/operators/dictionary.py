@@ -7,11 +7,16 @@ from itertools import accumulate
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from caudal.functions.entries import document_frequencies, terms_of_parts, vectors
+from caudal.functions.text import stop_words
 from caudal.operators import features as X
-from caudal.session import materialise
+from caudal.session import materialise, ship
 
 _ROW = (1 << 33) - 1
+#: Bytes of text that a part has, about; an eighth while there are few parts.
+_PART, _FEW = 32 << 20, 256
 
 
 def number_rows(rows: DataFrame, column: str, name: str = "index") -> DataFrame:
@@ -44,24 +49,62 @@ def _empty(names: tuple[str, ...], frame: DataFrame) -> list[Column]:
     return [F.coalesce(name, F.array().cast(frame.schema[name].dataType)).alias(name) for name in names]
 
 
+def _dealt(documents: DataFrame, text: str) -> tuple[int, DataFrame]:
+    """Number of parts, and the documents as (part, id, words): their letters in lower case, between spaces.
+
+    The number depends on the texts alone, as two jobs must see the same parts. Rows of one id share a part, so terms
+    are counted where they are; those without an id are dealt out by their text.
+    """
+    size = documents.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    n = max(1, min(_FEW, -(-size // (_PART >> 3))), -(-size // _PART))
+    ship(documents.sparkSession)
+    words = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\P{L}+", " ")
+    part = F.pmod(F.when(F.col("id").isNull(), F.xxhash64(text)).otherwise(F.xxhash64("id")), F.lit(n)).cast("int")
+    return n, documents.select(part.alias("part"), "id", words.alias("words"))
+
+
+def numbered_terms(documents: DataFrame, text: str = "text", language: str | None = "spanish", min_df: int = 5) -> DataFrame:
+    """(term, df, index, parts) for the terms of at least ``min_df`` documents, in order of the term.
+
+    Documents are dealt out by id; what leaves a task then is a row per term, not one per term of each document.
+    ``parts`` are those that have the term, for ``term_vectors`` of the same documents, text and language.
+    """
+    n, dealt = _dealt(documents, text)
+    local = dealt.repartitionById(n, "part").sortWithinPartitions("part", "id").mapInArrow(
+        document_frequencies(stop_words(language) if language else []), "part int, term string, df long, unnamed long"
+    )
+    counted = local.groupBy("term").agg((F.sum("df") + F.max("unnamed")).alias("df"), F.collect_set("part").alias("parts"))
+    return number_rows(counted.where(F.col("df") >= min_df), "term")
+
+
 def term_dictionary(documents: DataFrame, text: str = "text", language: str | None = "spanish", min_df: int = 5) -> DataFrame:
     """(term, df, index) for the terms of at least ``min_df`` documents, in order of the term."""
-    counted = X.terms(documents, text, language).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return number_rows(counted.where(F.col("df") >= min_df), "term")
+    return numbered_terms(documents, text, language, min_df).select("term", "df", "index")
 
 
 def term_vectors(documents: DataFrame, dictionary: DataFrame, text: str = "text", language: str | None = "spanish") -> DataFrame:
     """(id, indices, tf, tf_idf) for every document, over the terms of ``dictionary``; a document of none has empty arrays.
 
     The weight of a term is ln((m + 1) / (df + 1)) over the m documents.
+
+    The dictionary comes to the documents: each part is sent the numbers of its own terms, once. So the terms of each
+    document, which are many times as large as the texts, are never sent. A dictionary from ``numbered_terms`` knows
+    the parts; for another one the parts ask first.
     """
     m = documents.select("id").agg(F.count(F.lit(1)).alias("m")).scalar()
-    tf = X.terms(documents, text, language).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    weights = dictionary.select("term", "index", F.log((m + F.lit(1.0)) / (F.col("df") + 1)).alias("idf"))
-    entries = tf.join(weights, "term").select("id", "index", "tf", (F.col("tf") * F.col("idf")).alias("tf_idf"))
-    vectors = entries.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("index", "tf", "tf_idf"))).alias("v"))
-    vectors = vectors.select("id", F.col("v.index").alias("indices"), "v.tf", "v.tf_idf")
-    return documents.select("id").join(vectors, "id", "left").select("id", *_empty(("indices", "tf", "tf_idf"), vectors))
+    n, dealt = _dealt(documents, text)
+    dropped = stop_words(language) if language else []
+    idf = F.log((m + F.lit(1.0)) / (F.col("df") + 1)).alias("idf")
+    if "parts" in dictionary.columns:
+        named = dictionary.select(F.explode("parts").alias("part"), "term", "index", idf)
+    else:
+        asked = dealt.repartitionById(n, "part").sortWithinPartitions("part").mapInArrow(terms_of_parts(dropped), "part int, term string")
+        named = asked.join(dictionary.select("term", "index", idf), "term")
+    kind = documents.schema["id"].dataType
+    entries = named.select("part", F.col("term").alias("words"), F.col("index").cast("long").alias("index"), "idf")
+    met = dealt.unionByName(entries, allowMissingColumns=True).repartitionById(n, "part").sortWithinPartitions("part", F.col("index").isNull(), "id")
+    schema = StructType([StructField("id", kind), *StructType.fromDDL("indices array<long>, tf array<long>, tf_idf array<double>")])
+    return met.mapInArrow(vectors(dropped), schema)
 
 
 def category_vectors(rows: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:

@@ -27,7 +27,7 @@ def run_topic_models(
 ) -> None:
     """Topics and document weights for each number of topics and optimizer; words are counted once for all."""
     documents = X.law_text(spark.read.parquet(laws), sep=" ")
-    dictionary = D.term_dictionary(documents)
+    dictionary = D.numbered_terms(documents)
     vectors = materialise(D.ml_vectors(D.term_vectors(documents, dictionary), max(1, dictionary.count())))
     runs = [(k, optimizer) for optimizer in optimizers for k in ks]
     for k, optimizer in runs:
@@ -41,7 +41,7 @@ def run_clustering(
 ) -> None:
     """Cluster of each law, and the model. Summary and text are put together without a space."""
     documents = X.law_text(spark.read.parquet(laws), sep="")
-    dictionary = D.term_dictionary(documents)
+    dictionary = D.numbered_terms(documents)
     entries = {"termFrequency": "tf", "tfIdf": "tf_idf"}[features]
     vectors = D.ml_vectors(D.term_vectors(documents, dictionary), max(1, dictionary.count()), entries, features)
     clusters, model = T.kmeans_clusters(materialise(vectors), k, iterations, features, seed)

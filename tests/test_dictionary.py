@@ -1,7 +1,12 @@
 """Numbered terms and vectors over them."""
 
+import re
+from collections import Counter
+
+import pyarrow as pa
 import pytest
 
+from caudal.functions import entries as E
 from caudal.operators import dictionary as D
 from caudal.operators import topics as T
 from tests.conftest import rows
@@ -48,3 +53,40 @@ def test_models_over_the_dictionary(spark):
     for r in clusters.collect():
         apart = [float(((c - by_id[r["id"]]) ** 2).sum()) for c in model.clusterCenters()]
         assert apart[r["cluster"]] <= min(apart) + 1e-9
+
+
+def test_terms_are_counted_where_the_documents_are(spark):
+    """Terms of documents are not sent: what is dealt out are documents and the numbers of a part's terms."""
+    words = ["casa", "Árbol", "libro", "de", "mar", "sol"]
+    texts = [(i % 40 if i % 9 else None, " ".join(words[j] for j in range(6) if i >> j & 1) + f", w{i % 3}") for i in range(90)]
+    docs = spark.createDataFrame([*texts, (7, None), (None, ""), (99, "12")], "id int, text string").repartition(5)
+    bags: dict = {}
+    for i, text in [*texts, (7, None), (99, "12")]:
+        for t in re.findall(r"[a-zá]+", (text or "").lower()):
+            if t != "de":
+                bags.setdefault(i, Counter())[t] += 1
+    df = Counter(t for bag in bags.values() for t in bag)
+    numbers = {t: n for n, t in enumerate(sorted(t for t in df if df[t] >= 2))}
+    numbered = D.numbered_terms(docs, min_df=2)
+    plain = D.term_dictionary(docs, min_df=2)
+    assert rows(plain) == rows(numbered.select("term", "df", "index")) == sorted((t, df[t], n) for t, n in numbers.items())
+    want = []
+    for i in [i for i, _ in texts] + [7, None, 99]:
+        bag = bags.get(i, {}) if i is not None else {}
+        at = sorted((numbers[t], n) for t, n in bag.items() if t in numbers)
+        want.append((i, [a for a, _ in at], [n for _, n in at]))
+    for dictionary in (numbered, plain):
+        vectors = D.term_vectors(docs, dictionary)
+        assert rows(vectors.select("id", "indices", "tf")) == sorted(want, key=repr)
+        shuffles = re.findall(r"hashpartitioning\(([^)]*)\)", vectors._jdf.queryExecution().executedPlan().toString())
+        assert not [keys for keys in shuffles if "id#" in keys]
+
+
+def test_documents_in_pieces_are_counted_whole():
+    pieces = [([1, 1, 2], ["a b", "a", "c"]), ([], []), ([2], ["c d"]), ([2, 3, None], ["d", "", "a"]), ([None], ["a"])]
+    got = []
+    for c in E.counted(((ids, pa.array(words, pa.string())) for ids, words in pieces), ["b"]):
+        names = c.terms.to_pylist()
+        for at, (i, copies) in enumerate(zip(c.ids, c.copies.tolist(), strict=True)):
+            got.append((i, copies, {names[t]: n for d, t, n in zip(c.document, c.term, c.n.tolist(), strict=True) if d == at}))
+    assert got == [(1, 2, {"a": 2}), (2, 3, {"c": 2, "d": 2}), (3, 1, {}), (None, 1, {"a": 1}), (None, 1, {"a": 1})]
