@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _joined(vectors: DataFrame) -> DataFrame:
+    """The vectors in a few partitions a core: in each iteration every partition sends a number for each term and topic."""
+    return vectors.coalesce(4 * vectors.sparkSession.sparkContext.defaultParallelism)
+
+
 def lda_topics(
     vectors: DataFrame,
     vocabulary: list[str] | DataFrame,
@@ -22,7 +27,7 @@ def lda_topics(
     ``vocabulary`` names the vectors' places: a list, or a table (term, index).
     """
     lda = LDA(k=k, maxIter=iterations, optimizer=optimizer, featuresCol="termFrequency", seed=seed)
-    model = lda.fit(vectors)
+    model = lda.fit(_joined(vectors))
     topics = name_terms(model.describeTopics(terms), vocabulary)
     return topics, model.transform(vectors).select("id", "topicDistribution")
 
@@ -49,7 +54,7 @@ def kmeans_clusters(
     vectors: DataFrame, k: int, iterations: int = 10, features: str = "termFrequency", seed: int = 1
 ) -> tuple[DataFrame, KMeansModel]:
     """Cluster of each document (id, cluster), and the model."""
-    model = KMeans(k=k, maxIter=iterations, featuresCol=features, predictionCol="cluster", seed=seed).fit(vectors)
+    model = KMeans(k=k, maxIter=iterations, featuresCol=features, predictionCol="cluster", seed=seed).fit(_joined(vectors))
     return model.transform(vectors).select("id", "cluster"), model
 
 
