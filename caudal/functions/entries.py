@@ -160,3 +160,9 @@ def vectors(dropped: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                     yield rows
 
     return place
+
+
+def distinct_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches without the rows that stand in the same batch before."""
+    for batch in batches:
+        yield from pa.Table.from_batches([batch]).group_by(batch.schema.names).aggregate([]).select(batch.schema.names).to_batches()

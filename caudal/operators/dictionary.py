@@ -5,18 +5,21 @@ from __future__ import annotations
 from itertools import accumulate
 
 from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from caudal.functions.entries import document_frequencies, terms_of_parts, vectors
+from caudal.functions.entries import distinct_rows, document_frequencies, terms_of_parts, vectors
 from caudal.functions.text import stop_words
 from caudal.operators import features as X
+from caudal.operators.text import tallies
 from caudal.session import materialise, ship
 
 _ROW = (1 << 33) - 1
 #: Bytes of text that a part has, about; an eighth while there are few parts.
 _PART, _FEW = 32 << 20, 256
+#: Rows of a partition when they are dealt out by id, and categories that travel with the tasks.
+_ROWS, _CARRIED = 1_500_000, 100_000
 
 
 def number_rows(rows: DataFrame, column: str, name: str = "index") -> DataFrame:
@@ -35,20 +38,6 @@ def number_rows(rows: DataFrame, column: str, name: str = "index") -> DataFrame:
     return numbered.withColumn(name, F.col("_before") + F.col("_at").bitwiseAND(F.lit(_ROW))).drop("_at", "_range", "_before")
 
 
-def sparse_vectors(entries: DataFrame, dictionary: DataFrame, column: str, *values: str) -> DataFrame:
-    """(id, indices, one array for each of ``values``) from rows (id, column, values), in order of the index.
-
-    ``dictionary`` has (column, index); entries outside it are left out. What is gathered is one document's own entries.
-    """
-    placed = entries.join(dictionary.select(column, "index"), column)
-    vectors = placed.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("index", *values))).alias("v"))
-    return vectors.select("id", F.col("v.index").alias("indices"), *[F.col(f"v.{name}").alias(name) for name in values])
-
-
-def _empty(names: tuple[str, ...], frame: DataFrame) -> list[Column]:
-    return [F.coalesce(name, F.array().cast(frame.schema[name].dataType)).alias(name) for name in names]
-
-
 def _dealt(documents: DataFrame, text: str) -> tuple[int, DataFrame]:
     """Number of parts, and the documents as (part, id, words): their letters in lower case, between spaces.
 
@@ -112,12 +101,23 @@ def category_vectors(rows: DataFrame, column: str) -> tuple[DataFrame, DataFrame
 
     The count is that of distinct values as they stand; ``n`` counts those that become the category when trimmed and
     lower-cased. An empty category has no place in the vectors.
+
+    Rows are shuffled once, by id, and into so many partitions that each has a bounded number of them. Up to a number of
+    categories, all of them travel with the tasks.
     """
-    entries = X.category_features(rows, column)
-    dictionary = number_rows(entries.select("category").distinct(), "category")
-    vectors = sparse_vectors(entries, dictionary, "category", "n")
-    counted = X.category_counts(rows, column).join(vectors, "id", "left")
-    return counted.select("id", f"{column}Count", *_empty(("indices", "n"), vectors)), dictionary
+    values = rows.select("id", F.col(column).alias("value"))
+    names = values.select(X.category(F.col("value")).alias("category")).where(F.col("category") != "")
+    dictionary = number_rows(names.distinct(), "category")
+    known = F.broadcast(dictionary) if dictionary.count() <= _CARRIED else dictionary
+    ship(rows.sparkSession)
+    dealt = values.mapInArrow(distinct_rows, values.schema).repartition(max(1, -(-rows.count() // _ROWS)), "id")
+    sets = dealt.groupBy("id").agg(F.collect_set("value").alias("values"))
+    found = F.filter(F.transform("values", X.category), lambda c: c != "")
+    counted = sets.select("id", F.size("values").cast("long").alias("count"), F.explode_outer(found).alias("category"))
+    placed = counted.join(known, "category", "left").groupBy("id", "count").agg(F.sort_array(F.collect_list("index")).alias("places"))
+    placed = placed.withColumn("places", F.when(F.col("id").isNotNull(), F.col("places")).otherwise(F.array().cast("array<long>")))
+    vectors = placed.select("id", F.col("count").alias(f"{column}Count"), tallies("places").alias("v"))
+    return vectors.select("id", f"{column}Count", F.col("v.word").alias("indices"), F.col("v.n").alias("n")), dictionary
 
 
 def ml_vectors(vectors: DataFrame, size: int, values: str = "tf", out: str = "termFrequency") -> DataFrame:

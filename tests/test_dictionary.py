@@ -90,3 +90,22 @@ def test_documents_in_pieces_are_counted_whole():
         for at, (i, copies) in enumerate(zip(c.ids, c.copies.tolist(), strict=True)):
             got.append((i, copies, {names[t]: n for d, t, n in zip(c.document, c.term, c.n.tolist(), strict=True) if d == at}))
     assert got == [(1, 2, {"a": 2}), (2, 3, {"c": 2, "d": 2}), (3, 1, {}), (None, 1, {"a": 1}), (None, 1, {"a": 1})]
+
+
+def test_category_rows_are_shuffled_once(spark, monkeypatch):
+    values = [(i % 30 or None, ["X", " x", "y", "", None, "Z"][i % 6]) for i in range(300)] * 2 + [(77, None)]
+    data = spark.createDataFrame(values, "id int, c string").repartition(3)
+    own: dict = {}
+    for i, value in values:
+        own.setdefault(i, set()).update([value] if value is not None else [])
+    want = []
+    for i, distinct in own.items():
+        bag = Counter(v.strip().lower() for v in distinct if v.strip()) if i is not None else {}
+        at = sorted(({"x": 0, "y": 1, "z": 2}[c], n) for c, n in bag.items())
+        want.append((i, len(distinct), [a for a, _ in at], [n for _, n in at]))
+    found, _ = D.category_vectors(data, "c")
+    assert rows(found) == sorted(want, key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan.split("Initial Plan")[-1])) == 1
+    monkeypatch.setattr(D, "_CARRIED", 0)
+    assert rows(D.category_vectors(data, "c")[0]) == sorted(want, key=repr)
