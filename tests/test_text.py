@@ -1,8 +1,10 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from caudal.functions.cells import Lines, pair_sums
 from caudal.functions.text import stop_words
 from caudal.functions.time import epoch_minute
 from caudal.operators import text as T
@@ -119,3 +121,28 @@ def test_pairs_of_a_long_line_are_those_of_a_loop(spark):
         want.update((words[i], words[j]) for i in range(len(words)) for j in range(i, len(words)))
     got = {(r["word_a"], r["word_b"]): r["n"] for r in T.word_pairs(frame(spark, *lines), block=16).collect()}
     assert got == dict(want)
+
+
+def test_words_are_sent_and_not_their_pairs(spark, monkeypatch):
+    """Cells of several groups give the same sums, and no pair is shuffled."""
+    monkeypatch.setattr(T, "_CELL", 50)
+    texts = [" ".join(f"w{(i * j) % 23}" for j in range(i % 9)) for i in range(60)] + ["é a  é b", "", None]
+    got = T.word_pairs(frame(spark, *texts))
+    want = Counter()
+    for text in texts:
+        tally = sorted(Counter(w for w in (text or "").split(" ") if w).items())
+        for at, (a, n) in enumerate(tally):
+            want[a, a] += n * (n + 1) // 2
+            for b, m in tally[at + 1 :]:
+                want[a, b] += n * m
+    assert {(r["word_a"], r["word_b"]): r["n"] for r in got.collect()} == dict(want) and got.count() == len(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "word_a" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_sums_go_on_from_piece_to_piece():
+    lines = Lines(np.array([0, 0, 0, 1, 1, 2, 2]), np.array([0, 1, 2, 0, 1, 0, 1]), np.array([1, 2, 1, 1, 1, 3, 1]))
+    whole = [tuple(map(np.ndarray.tolist, p)) for p in pair_sums(lines, None, 1 << 20)]
+    assert whole == [([0, 0, 1], [1, 2, 2], [6, 1, 2])]
+    pieces = [np.concatenate(p).tolist() for p in zip(*pair_sums(lines, None, 1), strict=True)]
+    assert pieces == [[0, 0, 1], [1, 2, 2], [6, 1, 2]]
