@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import LDA, KMeans, KMeansModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+
+from caudal.functions.em import shares_of, step
+from caudal.session import remove, ship, work_dir
 
 
 def _joined(vectors: DataFrame) -> DataFrame:
@@ -26,12 +32,57 @@ def lda_topics(
 
     ``vocabulary`` names the vectors' places: a list, or a table (term, index).
     """
+    if optimizer == "em":
+        described, weights = em_topics(vectors, k, iterations, seed, terms)
+        return name_terms(described, vocabulary), weights
     lda = LDA(k=k, maxIter=iterations, optimizer=optimizer, featuresCol="termFrequency", seed=seed)
     model = lda.fit(_joined(vectors))
     topics = name_terms(model.describeTopics(terms), vocabulary)
     return topics, model.transform(vectors).select("id", "topicDistribution")
 
 
+def em_topics(
+    vectors: DataFrame, k: int, iterations: int, seed: int, terms: int, features: str = "termFrequency"
+) -> tuple[DataFrame, DataFrame]:
+    """Described topics (topic, termIndices, termWeights) and document weights by expectation maximisation.
+
+    The updates, the concentrations (50 / k + 1 and 1.1) and the inference of a document's weights are those of the
+    library's optimizer "em", which keeps all entries of all documents as a graph in memory. Here documents stay in
+    files, with the weights of their topics; a round reads them once. The weights of the terms, ``k`` numbers for each,
+    go through the driver to the tasks in each round. The random start depends on the seed and a document's own terms.
+    """
+    spark = vectors.sparkSession
+    context = spark.sparkContext
+    alpha, eta = 50 / k + 1, 1.1
+    size = (vectors.select(features).first() or [Vectors.sparse(0, {})])[0].size
+    parts = F.unwrap_udt(F.col(features))
+    places = F.coalesce(parts["indices"], F.when(F.size(parts["values"]) > 0, F.sequence(F.lit(0), F.size(parts["values"]) - 1)))
+    rows = vectors.select("id", places.alias("indices"), parts["values"].alias("n"))
+    schema = StructType([StructField("term", IntegerType()), *rows.schema.fields, StructField("weights", ArrayType(DoubleType()))])
+    ship(spark)
+    folder, held = work_dir(spark), None
+    documents = rows
+    for turn in range(iterations + 1):
+        # a partition a core, as each adds a row for every term it has
+        made = documents.coalesce(context.defaultParallelism).mapInArrow(step(k, size, alpha, eta, seed, (lambda h: lambda: h and h.value)(held)), schema)
+        made.write.option("compression", "zstd").parquet(f"{folder}/{turn}")
+        made = spark.read.schema(schema).parquet(f"{folder}/{turn}")
+        sums = made.where("term is not null").groupBy("term").agg(*[F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(k)]).toArrow()
+        found = np.zeros((size, k))
+        found[sums["term"].to_numpy()] = np.stack([sums[f"w{i}"].to_numpy() for i in range(k)], 1)
+        held = context.broadcast(found)
+        documents = made.where("term is null").drop("term")
+        if turn:
+            remove(spark, f"{folder}/{turn - 1}")
+    shares = found / found.sum(0)
+    best = [np.argsort(-shares[:, i], kind="stable")[:terms] for i in range(k)]
+    data = [(i, at.tolist(), shares[at, i].tolist()) for i, at in enumerate(best)]
+    described = spark.createDataFrame(data, "topic int, termIndices array<int>, termWeights array<double>")
+    given = StructType([rows.schema["id"], StructField("shares", ArrayType(DoubleType()))])
+    weights = documents.select("id", "indices", "n").mapInArrow(shares_of(alpha, lambda: held.value), given)
+    return described, weights.select("id", array_to_vector("shares").alias("topicDistribution"))
+
+
 def name_terms(described: DataFrame, vocabulary: list[str] | DataFrame) -> DataFrame:
     """Topics with words in place of term numbers; numbers outside the vocabulary are skipped.
 

@@ -3,9 +3,12 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.clustering import LDA
 
+from caudal.functions import em as M
 from caudal.functions import entries as E
 from caudal.operators import dictionary as D
 from caudal.operators import topics as T
@@ -109,3 +112,40 @@ def test_category_rows_are_shuffled_once(spark, monkeypatch):
     assert len(re.findall(r"\bExchange (?:hashpartitioning|SinglePartition)", plan.split("Initial Plan")[-1])) == 1
     monkeypatch.setattr(D, "_CARRIED", 0)
     assert rows(D.category_vectors(data, "c")[0]) == sorted(want, key=repr)
+
+
+def test_topics_by_expectation_maximisation(spark):
+    """The rounds give what a plain loop gives, wherever documents lie, and tell matters apart."""
+    matters = ["impuesto renta tributo banco", "escuela maestro libro alumno"]
+    data = [(i, f"{matters[i % 2]} {matters[i % 2].split()[i % 3]} comun") for i in range(60)] + [(60, ""), (None, "renta")]
+    docs = spark.createDataFrame(data, "id int, text string")
+    dictionary = D.numbered_terms(docs)
+    vectors = D.ml_vectors(D.term_vectors(docs, dictionary), dictionary.count()).cache()
+    described, weights = T.em_topics(vectors, 2, 15, 1, 4)
+    again, _ = T.em_topics(vectors.repartition(7), 2, 15, 1, 4)
+    for a, b in zip(described.collect(), again.collect(), strict=True):
+        assert a["termIndices"] == b["termIndices"] and a["termWeights"] == pytest.approx(b["termWeights"])
+    names = {r["index"]: r["term"] for r in dictionary.collect()}
+    counts = np.array([r[0].toArray() for r in vectors.where("id < 60").select("termFrequency").collect()])
+    plain = M.entries(pa.RecordBatch.from_pydict({"indices": [np.flatnonzero(c).tolist() for c in counts], "n": [c[c > 0].tolist() for c in counts]}))
+    shares = M.drawn(plain, 60, 2, 1)
+    for _ in range(16):
+        d, w = np.zeros((60, 2)), np.zeros((counts.shape[1], 2))
+        for at, (i, t, n) in enumerate(zip(plain.document, plain.term, plain.n, strict=True)):
+            d[i] += n * shares[at]
+            w[t] += n * shares[at]
+        for at, (i, t) in enumerate(zip(plain.document, plain.term, strict=True)):
+            p = (w[t] + 0.1) * (d[i] + 25) / (w.sum(0) + 0.1 * len(w))
+            shares[at] = p / p.sum()
+    for r in described.collect():
+        assert r["termWeights"] == pytest.approx(sorted(w[:, r["topic"]] / w[:, r["topic"]].sum(), reverse=True)[:4])
+    found = {r["id"]: r["topicDistribution"].toArray() for r in weights.collect()}
+    assert len(found) == 62 and not found[60].any() and not found[None].any()
+    assert all(v.sum() == pytest.approx(1) for i, v in found.items() if i is not None and i < 60)
+    assert len(names) == 9
+    library = LDA(k=2, maxIter=15, optimizer="em", featuresCol="termFrequency", seed=1).fit(vectors.where("id < 60"))
+    lam = library.topicsMatrix().toArray()
+    own = M.infer(plain, 60, M._expected(lam, 0), 26.0)
+    wanted = np.array([r[0].toArray() for r in library.transform(vectors.where("id < 60")).select("topicDistribution").collect()])
+    assert np.abs(own - wanted).max() < 1e-3
+    assert M.digamma(np.array([1.0, 0.5, 10.0])) == pytest.approx([-0.5772156649, -1.9635100260, 2.2517525891])
