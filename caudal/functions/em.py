@@ -130,19 +130,20 @@ def infer(b: Batch, documents: int, beta: np.ndarray, alpha: float, change: floa
     shares = np.zeros((documents, k))
     numbers = b.document[b.starts]
     sizes = np.diff(np.append(b.starts, len(b.term)))
-    likely, n = beta[b.term], b.n
+    likely, n = np.ascontiguousarray(beta[b.term].T), b.n
     gamma = np.repeat(alpha + np.add.reduceat(n, b.starts)[:, None] / k, k, 1) if len(n) else np.ones((0, k))
     while len(numbers):
         at, starts = np.repeat(np.arange(len(numbers)), sizes), np.cumsum(sizes) - sizes
         theta = _expected(gamma, 1)
-        norm = np.einsum("ij,ij->i", likely, theta[at]) + 1e-100
-        new = theta * np.add.reduceat(likely * (n / norm)[:, None], starts) + alpha
+        # a row for each topic: sums along rows are many times as fast
+        norm = np.einsum("ij,ij->j", likely, theta.T.take(at, 1)) + 1e-100
+        new = theta * np.add.reduceat(likely * (n / norm), starts, 1).T + alpha
         ready = np.abs(new - gamma).mean(1) <= change
         shares[numbers[ready]] = new[ready] / new[ready].sum(1, keepdims=True)
         gamma, numbers = new[~ready], numbers[~ready]
         if ready.any():
             going = ~ready[at]
-            likely, n, sizes = likely[going], n[going], sizes[~ready]
+            likely, n, sizes = likely[:, going], n[going], sizes[~ready]
     return shares
 
 
