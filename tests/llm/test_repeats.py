@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from caudal.llm import jaccard, lines, pairs, substrings, suffixes
+from caudal.llm import jaccard, lines, pairs, regions, substrings, suffixes
 from caudal.llm.components import connected
 from caudal.llm.stage import Stage
 from tests.llm.frames import corpus, documents, jaccard_components, quality, union_find, without_lines, words
@@ -106,6 +106,53 @@ def test_components_of_similar_documents(spark, k, percent, small):
     assert got == jaccard_components(rows, k, percent)
 
 
+def test_sketches_of_similar_sets_are_near():
+    rng = np.random.default_rng(32)
+    sets = []
+    for n in (1, 5, 30, 200, 1500):
+        base = rng.integers(0, 2**62, n).astype(np.uint64)
+        for _ in range(12):
+            own = np.where(rng.random(n) < rng.choice([0.01, 0.05, 0.3]), rng.integers(0, 2**62, n).astype(np.uint64), base)
+            sets.append(np.unique(np.concatenate((own, rng.integers(0, 2**62, rng.integers(0, n // 3 + 1)).astype(np.uint64)))))
+    sketches = [regions.sketch(x) for x in sets]
+    both = [(i, j) for i in range(len(sets)) for j in range(len(sets))]
+    near = regions.may_be_similar([sketches[i] for i, _ in both], [sketches[j] for _, j in both], 80)
+    alike = far = dropped = 0
+    for (i, j), kept in zip(both, near, strict=True):
+        common = len(np.intersect1d(sets[i], sets[j]))
+        similar = 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common)
+        assert kept or not similar
+        alike, far, dropped = alike + similar, far + (not common), dropped + (not common and not kept)
+    assert alike > 100 and dropped > 0.9 * far
+    assert not len(regions.may_be_similar([], [], 80))
+
+
+def test_texts_of_documents_unlike_their_pivot_are_not_sent(spark, monkeypatch):
+    """Documents that share a passage meet in many regions; only sketches tell them apart, not texts."""
+    rng = random.Random(33)
+    prose = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    passage = prose(120)
+    rows = [(i, " ".join(passage + prose(90))) for i in range(50)]
+    rows.append((50, rows[7][1] + " more"))
+    met, measured = [], []
+    put, measure = Stage.put, regions._measure
+
+    def counted_put(self, df, name, free=True):
+        out = put(self, df, name, free)
+        met.extend([out.count()] * name.startswith("met-"))
+        return out
+
+    def counted_measure(these, *others):
+        measured.append(these.count())
+        return measure(these, *others)
+
+    monkeypatch.setattr(Stage, "put", counted_put)
+    monkeypatch.setattr(regions, "_measure", counted_measure)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(documents(spark, rows), 5, 80).collect()}
+    assert got == jaccard_components(rows, 5, 80) and got[50][1] == 7
+    assert sum(met) > 50 and 1 <= sum(measured) <= sum(met) // 5
+
+
 def test_difference_prefixes_meet():
     """Two similar sets, one of them unlike the pivot, go on under a common shingle."""
     rng = np.random.default_rng(24)
