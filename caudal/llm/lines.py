@@ -21,7 +21,7 @@ from caudal.llm import arrays as A
 from caudal.llm import parcels as P
 from caudal.llm.arrays import U
 from caudal.llm.components import connected
-from caudal.llm.pairs import distinct_regions, linked_pairs
+from caudal.llm.pairs import distinct_regions, in_blocks, linked_pairs
 from caudal.llm.regions import SMALL, Entries, join_regions, meet, node_bytes, sketch
 from caudal.llm.stage import Stage
 
@@ -33,6 +33,8 @@ BANDS, ROWS = 10, 4
 #: Lines of at most so many shingles have a hash function for each value of their signature, those of at least
 #: so many have a bin; lines of sizes between have both, so that two lines that are alike have one kind in common.
 SHORT, LONG = 100, 80
+#: Regions of up to so many times the nodes of a small one are compared by blocks; pivots divide larger ones.
+BLOCKS = 8
 #: Bytes of text whose shingles are worked out at a time: their fingerprints stay near the processor.
 PIECE = 1 << 18
 
@@ -194,13 +196,15 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def linked_lines(regions: DataFrame, shapes: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
     """node, component: lines connected by links inside some region. ``regions`` has a node once a region.
 
-    The pairs of a region of up to ``small`` nodes are compared in its task. Larger regions are divided by pivots.
+    The pairs of a region of up to ``small`` nodes are compared in its task, those of one of up to BLOCKS times as
+    many in a task for every two of its blocks. Larger regions are divided by pivots: a pivot that many nodes of a
+    region are unlike sends each of them to a region for every few of its shingles, dozens in a line of prose.
     """
     sets = partial(line_sets, k=SHINGLE)
     rows = stage.put(distinct_regions(regions, stage, "several"), "several")
-    few = rows.where(F.col("n") <= small).join(shapes, "node")
+    few = in_blocks(rows.where(F.col("n") <= BLOCKS * small), small).join(shapes, "node")
     links = stage.put(linked_pairs(few, sets, PERCENT), "links")
-    large = rows.where(F.col("n") > small).select("region", "node")
+    large = rows.where(F.col("n") > BLOCKS * small).select("region", "node")
     if not large.isEmpty():
         asked = shapes.join(large.select("node").distinct(), "node").select("node", "shape")
         sketched = stage.put(asked.mapInArrow(_sketched, "node binary, shape string, sketch binary"), "sketched")

@@ -35,6 +35,19 @@ def distinct_regions(regions: DataFrame, stage: Stage, name: str) -> DataFrame:
     return regions.join(kept, "region").select("region", "n", "node")
 
 
+def in_blocks(regions: DataFrame, small: int) -> DataFrame:
+    """region, node: regions of more than ``small`` nodes as regions of two blocks each, in which any two nodes meet.
+
+    Of a region's n nodes a block has about ``small``, so each node goes on n / ``small`` times at most.
+    ``regions`` has n and a node once a region.
+    """
+    blocks, own = F.ceil(F.col("n") / small).cast("int"), F.col("own")
+    others = F.filter(F.sequence(F.lit(0), blocks - 1), lambda b: b != own)
+    met = F.transform(others, lambda b: F.xxhash64("region", F.least(own, b), F.greatest(own, b)))
+    placed = regions.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    return placed.select(F.explode(F.when(F.col("n") <= small, F.array("region")).otherwise(met)).alias("region"), "node")
+
+
 def _whole_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows sorted by region, in tables of whole regions with about BLOCK bytes of text."""
 

@@ -229,6 +229,39 @@ def test_large_regions_of_lines_give_the_same(spark, small):
     assert got == without_lines(ROWS)
 
 
+@pytest.mark.parametrize("small", [1, 4, 10])
+def test_any_two_nodes_of_a_region_meet_in_blocks(spark, small):
+    sizes = {1: 1, 2: 2, 3: 9, 4: 33}
+    nodes = [(r, n, f"{r}-{i}".encode()) for r, n in sizes.items() for i in range(n)]
+    got = pairs.in_blocks(spark.createDataFrame(nodes, "region long, n long, node binary"), small).collect()
+    blocks = {}
+    for r in got:
+        blocks.setdefault(r["region"], set()).add(bytes(r["node"]))
+    assert sum(map(len, blocks.values())) == len(got) <= sum(n * max(1, -(-n // small) - 1) for n in sizes.values())
+    met = {(a, b) for own in blocks.values() for a in own for b in own}
+    assert met == {(a, b) for r, _, a in nodes for s, _, b in nodes if r == s}
+
+
+def test_a_region_of_some_blocks_needs_no_pivots(spark, monkeypatch):
+    """Near copies of a line whose edits differ: a pivot leaves most of them open, and sends each to dozens of regions."""
+    rng = random.Random(34)
+    base = [f"w{rng.randint(0, 10**5)}" for _ in range(40)]
+    rows = []
+    for i in range(30):
+        own = list(base)
+        for _ in range(rng.randint(0, 4)):
+            own[rng.randrange(len(own))] = f"v{rng.randint(0, 10**5)}"
+        rows.append((i, " ".join(own)))
+    want = without_lines(rows)
+    got = lambda: {r["doc_id"]: r["text"] for r in lines.remove_lines(documents(spark, rows), small=4).collect()}
+    asked = []
+    divide = lines.join_regions
+    monkeypatch.setattr(lines, "join_regions", lambda *a: (asked.append(1), divide(*a))[1])
+    assert got() == want and not asked
+    monkeypatch.setattr(lines, "BLOCKS", 1)
+    assert got() == want and asked
+
+
 def test_links_of_regions_connect_what_all_pairs_connect(spark):
     rng = random.Random(31)
     rows, sets = [], {}
