@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from caudal.llm import parcels as P
 from caudal.llm.arrays import U
-from caudal.llm.regions import Sets, similar
+from caudal.llm.regions import Sets, in_blocks, similar, stretches  # noqa: F401
 from caudal.llm.stage import Stage
 
 #: Bytes of text that a task compares at a time, if no single region has more.
@@ -35,19 +35,6 @@ def distinct_regions(regions: DataFrame, stage: Stage, name: str) -> DataFrame:
     return regions.join(kept, "region").select("region", "n", "node")
 
 
-def in_blocks(regions: DataFrame, small: int) -> DataFrame:
-    """region, node: regions of more than ``small`` nodes as regions of two blocks each, in which any two nodes meet.
-
-    Of a region's n nodes a block has about ``small``, so each node goes on n / ``small`` times at most.
-    ``regions`` has n and a node once a region.
-    """
-    blocks, own = F.ceil(F.col("n") / small).cast("int"), F.col("own")
-    others = F.filter(F.sequence(F.lit(0), blocks - 1), lambda b: b != own)
-    met = F.transform(others, lambda b: F.xxhash64("region", F.least(own, b), F.greatest(own, b)))
-    placed = regions.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    return placed.select(F.explode(F.when(F.col("n") <= small, F.array("region")).otherwise(met)).alias("region"), "node")
-
-
 def _whole_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows sorted by region, in tables of whole regions with about BLOCK bytes of text."""
 
@@ -72,11 +59,6 @@ def _whole_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield from cut(held[0], True)
 
 
-def _stretches(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    before = np.cumsum(sizes) - sizes
-    return values[np.repeat(starts - before, sizes) + np.arange(sizes.sum())]
-
-
 def _alike(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs of sets are similar; so many pairs at a time that their sets have VALUES shingles, or one pair."""
     out, at = np.zeros(len(x), bool), 0
@@ -85,7 +67,7 @@ def _alike(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, x: np.ndar
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + VALUES, "right")))
         own, other = x[at:to], y[at:to]
         out[at:to] = similar(
-            (_stretches(values, starts[own], sizes[own]), sizes[own]), (_stretches(values, starts[other], sizes[other]), sizes[other]), percent
+            (stretches(values, starts[own], sizes[own]), sizes[own]), (stretches(values, starts[other], sizes[other]), sizes[other]), percent
         )
         at = to
     return out

@@ -153,6 +153,75 @@ def test_texts_of_documents_unlike_their_pivot_are_not_sent(spark, monkeypatch):
     assert sum(met) > 50 and 1 <= sum(measured) <= sum(met) // 5
 
 
+def test_sets_leave_large_regions_of_few_common_shingles(spark, monkeypatch):
+    rng = random.Random(41)
+    prose = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    passage = prose(20)
+    rows = [(i, " ".join(prose(90) + passage + prose(90))) for i in range(120)]
+    rows.append((120, rows[7][1] + " more"))
+    entries, put = {}, Stage.put
+
+    def counted(self, df, name, free=True):
+        out = put(self, df, name, free)
+        entries.update({name: out.count()} if name in ("regions", "kept", "met-0") else {})
+        return out
+
+    monkeypatch.setattr(Stage, "put", counted)
+    found = jaccard.jaccard_components(documents(spark, rows), 5, 80, small=4, frequent=2)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == jaccard_components(rows, 5, 80)
+    assert entries["regions"] > 300 and entries["met-0"] < entries["regions"] // 4
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_similar_sets_share_as_many_keys_as_are_sure(percent):
+    rng = np.random.default_rng(42)
+    for _ in range(300):
+        x = np.unique(rng.integers(0, 2**62, rng.integers(4, 400))).astype(np.uint64)
+        y = np.unique(np.concatenate((rng.permutation(x)[rng.integers(0, 1 + len(x) // 8) :], rng.integers(0, 2**62, rng.integers(0, 1 + len(x) // 8)).astype(np.uint64))))
+        common = len(np.intersect1d(x, y))
+        if 100 * common < percent * (len(x) + len(y) - common) or np.array_equal(x, y):
+            continue
+        counts = np.array([len(x), len(y)])
+        sure = np.array(jaccard.sure_parts(counts, percent))
+        kinds = [{0: set(), 1: set()}, {0: set(), 1: set()}]
+        for text, keys in jaccard.part_keys(np.concatenate((x, y)), counts, percent):
+            for t, key in zip(text.tolist(), keys.tolist(), strict=True):
+                kinds[t][key >> 63].add(key)
+        shared = [len(kinds[0][odd] & kinds[1][odd]) for odd in (0, 1)]
+        # the class of the smaller set is the one that counts
+        begins = jaccard.size_classes(percent, int(counts.max()))
+        odd = int(np.searchsorted(begins, counts.min(), "right") - 1) % 2
+        assert shared[odd] >= max(sure[odd]) >= 1 and sure[odd][0] == sure[odd][1]
+
+
+def test_near_copies_in_large_regions_need_no_further_regions(spark, monkeypatch):
+    """Some of a crowd of near copies are less alike than asked, so that its regions stay open behind their pivot."""
+    rng = random.Random(43)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(40):
+        own = list(base)
+        for _ in range(rng.randint(0, 9)):
+            own[rng.randrange(len(own))] = f"v{rng.randint(0, 10**6)}"
+        rows.append((i, " ".join(own)))
+    asked, divide, put, sizes = [], regions._onward, Stage.put, []
+
+    def counted(self, df, name, free=True):
+        out = put(self, df, name, free)
+        sizes.extend([out.count()] * (name.startswith("left-") and "component" in out.columns))
+        return out
+
+    monkeypatch.setattr(Stage, "put", counted)
+    monkeypatch.setattr(regions, "_onward", lambda *a: (asked.append(1), divide(*a))[1])
+    got = lambda: {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(documents(spark, rows), 5, 80, small=8).collect()}
+    want = jaccard_components(rows, 5, 80)
+    assert len(set(c for _, c in want.values())) > 1
+    assert got() == want and not asked
+    assert sum(sizes) < 10 * len(rows)  # its many regions are united
+    monkeypatch.setattr(regions, "BLOCKS", 1)
+    assert got() == want and asked
+
+
 def test_difference_prefixes_meet():
     """Two similar sets, one of them unlike the pivot, go on under a common shingle."""
     rng = np.random.default_rng(24)
@@ -181,6 +250,11 @@ def test_one_document_of_each_component_stays(spark):
     kept = jaccard.keep_one_each(frame)
     want = {c for _, c in jaccard_components(ROWS, 5, 80).values()}
     assert {r["doc_id"] for r in kept.collect()} - {None} == want and kept.columns == frame.columns
+    twice = [(5, ROWS[0][1]), *ROWS, (5, "of one id and quite another text than that of the first")]
+    assert len({d for d, _ in ROWS} & {5}) < 2
+    first = {d for d, (_, c) in jaccard_components(ROWS, 5, 80).items() if d == c}
+    got = [r["doc_id"] for r in jaccard.keep_one_each(documents(spark, twice)).collect()]
+    assert got.count(5) >= 2 and first - {5} >= set(got) - {5}
     assert jaccard.jaccard_components(documents(spark, [])).count() == 0
 
 
