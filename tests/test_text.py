@@ -1,10 +1,13 @@
+import itertools
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from caudal.functions.cells import Lines, pair_sums
+from caudal.functions.cells import Cell, Lines, count_cells, pack, pair_sums, send_lines
 from caudal.functions.text import stop_words
 from caudal.functions.time import epoch_minute
 from caudal.operators import text as T
@@ -146,3 +149,39 @@ def test_sums_go_on_from_piece_to_piece():
     assert whole == [([0, 0, 1], [1, 2, 2], [6, 1, 2])]
     pieces = [np.concatenate(p).tolist() for p in zip(*pair_sums(lines, None, 1), strict=True)]
     assert pieces == [[0, 0, 1], [1, 2, 2], [6, 1, 2]]
+
+
+def sent(texts, groups, lines):
+    """The rows that cells are sent, so many lines of text at a time."""
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[at : at + lines])], ["value"]) for at in range(0, len(texts), lines)]
+    return list(send_lines(groups)(iter(batches)))
+
+
+@pytest.mark.parametrize(("groups", "lines", "piece"), [(1, 7, 1), (3, 50, 40), (4, 3, 10**6)])
+def test_cells_add_up_parcels_range_by_range(groups, lines, piece):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdeé漢zw") * rng.randint(1, 3) for _ in range(rng.randint(0, 25))) for _ in range(90)]
+    want = Counter()
+    for text in texts:
+        ws = sorted(text.split())
+        want.update((ws[i], ws[j]) for i in range(len(ws)) for j in range(i, len(ws)))
+    got = [r for batch in count_cells(True, piece)(iter(sent(texts, groups, lines))) for r in batch.to_pylist()]
+    assert {(r["word_a"], r["word_b"]): r["n"] for r in got} == dict(want) and len(got) == len(want)
+
+
+def test_a_cell_holds_the_pairs_of_a_range_only():
+    """However many parcels a cell has, their lines are unpacked one after another, and pairs made some at a time."""
+    rng = np.random.default_rng(8)
+    words, parcels = [f"w{i:05}" for i in range(4000)], []
+    for _ in range(60):
+        keys = np.unique(np.repeat(np.arange(2000), 20) << 32 | rng.integers(0, len(words), 40000))
+        parcels.append((pack(Lines(keys >> 32, keys & 0xFFFFFFFF, np.ones(len(keys), np.int64)), words), None))
+    cell = Cell(parcels)
+    ranges = list(cell.ranges(1 << 18))
+    assert ranges[0][0] == 0 and ranges[-1][1] >= 3990 and all(a[1] <= b[0] for a, b in itertools.pairwise(ranges))
+    tracemalloc.start()
+    total = sum(int(cell.sums(a, b, 1 << 17)[1].sum()) for a, b in ranges[::20])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 60 x 40,000 places of 24 bytes are 58 MB
+    assert total > 0 and peak < 40e6
